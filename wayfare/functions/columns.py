@@ -20,7 +20,7 @@ def half_up(c: Column, digits: int) -> Column:
 
     The inner round removes the noise of floating sums, so that an exact tie stays one.
     """
-    return F.round(F.round(c, 10), digits)
+    return F.round(F.round(c, digits + 4), digits)
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -81,6 +81,13 @@ def share(pred: Column, valid: Column | None = None) -> Column:
     return ratio(hits, total)
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Correlation over the rows where both are given; null for a constant column, where the
+    built-in raises a division by zero in ANSI mode."""
+    a, b = F.when(b.isNotNull(), a.cast("double")), F.when(a.isNotNull(), b.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def unpivot(df: DataFrame, keys: Sequence[str], name: str, values: dict[str, dict[str, Column]]) -> DataFrame:
     """Turn the columns of a few wide rows into one row per entry of `values`."""
     rows = F.array(*[

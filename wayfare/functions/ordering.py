@@ -1,18 +1,21 @@
 """Order statistics without a global sort.
 
 A plain ``percentile`` or an unpartitioned window gathers a whole column in one task. Here
-equal values are counted first, the counts are laid over a grid of cells, and only the
-cells that hold a wanted rank are sorted. Each pass is a partial aggregate, so a value
-shared by a third of all rows costs one row per map task.
+the range that holds a wanted rank is cut into cells, the cells are counted, and the search
+goes on inside the one cell that holds the rank, until a single value is left. Every pass is
+a partial aggregate over at most CELLS cells per range, so neither a value shared by a third
+of all rows nor a huge column ever meets in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-CELLS = 4096
+CELLS = 1024
 
 
 def small_values(df: DataFrame, col: str, limit: int = 1000) -> list:
@@ -23,76 +26,95 @@ def small_values(df: DataFrame, col: str, limit: int = 1000) -> list:
     return sorted(r[0] for r in rows)
 
 
-def order_statistics(df: DataFrame, value: Column, ranks: Callable[[Column], Column],
-                     stratum: Column | None = None, strata: Sequence | None = None,
-                     levels: int = 2) -> DataFrame:
-    """Exact values at 1-based `ranks(n)` (an array column of the group size n), per stratum.
+@dataclass(frozen=True)
+class Ranked:
+    """The value `v` at 1-based rank `k` of the `n` rows of a stratum."""
 
-    `strata` lists the allowed strata, which bounds every broadcast below by
-    ``len(strata) * len(ranks)`` rows. Returns (stratum, n, k, v).
+    stratum: object
+    n: int
+    k: int
+    v: object
+
+
+def order_statistics(df: DataFrame, value: Column, ranks: Callable[[int], Sequence[int]],
+                     stratum: Column | None = None, strata: Sequence | None = None) -> list[Ranked]:
+    """Exact values at the 1-based `ranks(n)` of each stratum; ranks outside 1..n are left out.
+
+    `strata` lists the allowed strata. What the driver sees per pass is bounded by
+    strata x ranks x CELLS counts, and what is broadcast by strata x ranks ranges.
     """
-    rows = df.select((F.lit(0) if stratum is None else stratum).alias("stratum"), value.alias("v"))
+    rows = df.select((F.lit(0) if stratum is None else stratum).alias("s"), value.alias("v"))
     rows = rows.where(F.col("v").isNotNull())
     if stratum is not None:
-        rows = rows.where(F.col("stratum").isin(list(strata)))
-    vals = rows.groupBy("stratum", "v").agg(F.count("*").alias("w"))
-    wanted = (vals.groupBy("stratum")
-              .agg(F.sum("w").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-              .select("stratum", "n", F.explode(F.array_distinct(ranks(F.col("n")))).alias("k"),
-                      "lo", "hi", F.lit(0).cast("long").alias("below")))
-    ranges = ["stratum", "lo", "hi", "below"]
-    for _ in range(levels):
-        inside = _within(vals, wanted.select(*ranges).distinct())
-        width = _num("hi") - _num("lo")
-        cell = F.coalesce(F.least(F.floor(F.try_divide(_num("v") - _num("lo"), width) * CELLS),
-                                  F.lit(CELLS - 1)), F.lit(0))
-        cells = (inside.groupBy(*ranges, cell.alias("cell"))
-                 .agg(F.sum("w").alias("w"), F.min("v").alias("cell_lo"), F.max("v").alias("cell_hi")))
-        upto = F.col("below") + F.sum("w").over(W.partitionBy(*ranges).orderBy("cell"))
-        wanted = _holding(cells.withColumn("upto", upto), wanted, ranges).select(
-            "stratum", "n", "k", F.col("cell_lo").alias("lo"), F.col("cell_hi").alias("hi"),
-            (F.col("upto") - F.col("w")).alias("below"))
-    inside = _within(vals, wanted.select(*ranges).distinct())
-    upto = F.col("below") + F.sum("w").over(W.partitionBy(*ranges).orderBy("v"))
-    return _holding(inside.withColumn("upto", upto), wanted, ranges).select("stratum", "n", "k", "v")
-
-
-def _num(col: str) -> Column:
-    return F.col(col).cast("double")
-
-
-def _within(vals: DataFrame, ranges: DataFrame) -> DataFrame:
-    return (vals.join(F.broadcast(ranges), "stratum")
-            .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi"))))
-
-
-def _holding(counted: DataFrame, wanted: DataFrame, ranges: list[str]) -> DataFrame:
-    """Keep the rows whose span of running counts contains a wanted rank."""
-    hit = (F.col("k") > F.col("upto") - F.col("w")) & (F.col("k") <= F.col("upto"))
-    return counted.join(F.broadcast(wanted), ranges).where(hit)
+        rows = rows.where(F.col("s").isin(list(strata)))
+    spans = rows.groupBy("s").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    size = {r["s"]: r["n"] for r in spans}
+    # (stratum, rank) -> (low, high, rows below low): the range known to hold the rank
+    found = {(r["s"], k): (r["lo"], r["hi"], 0) for r in spans for k in set(ranks(r["n"])) if 1 <= k <= r["n"]}
+    kept = None
+    while True:
+        ranges = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str)
+        if not ranges:
+            break
+        inside = _inside(rows if kept is None else kept, ranges)
+        cells = _count_cells(inside)
+        found = {(s, k): (lo, hi, below) if lo == hi else _locate(cells[(s, lo, hi)], k, below)
+                 for (s, k), (lo, hi, below) in found.items()}
+        if kept is None:  # later passes read only the rows of the chosen cells, kept on disk
+            chosen = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str)
+            if chosen:
+                kept = _inside(rows, chosen).select("s", "v").persist(StorageLevel.DISK_ONLY)
+    if kept is not None:
+        kept.unpersist()
+    return [Ranked(s, size[s], k, lo) for (s, k), (lo, _, _) in found.items()]
+
+
+def _inside(rows: DataFrame, ranges: list[tuple]) -> DataFrame:
+    """Rows inside the given (stratum, lo, hi) ranges, which never overlap."""
+    kind = rows.schema["v"].dataType.simpleString()
+    label = rows.schema["s"].dataType.simpleString()
+    table = rows.sparkSession.createDataFrame(ranges, f"s {label}, lo {kind}, hi {kind}")
+    return rows.join(F.broadcast(table), "s").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+
+def _count_cells(inside: DataFrame) -> dict:
+    """{range: [(rows, least, greatest), ...] in cell order}."""
+    part = (F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double")
+    cell = F.least(F.floor(part * CELLS), F.lit(CELLS - 1))
+    counts = inside.groupBy("s", "lo", "hi", cell.alias("c")).agg(
+        F.count("*").alias("w"), F.min("v").alias("least"), F.max("v").alias("greatest"))
+    out: dict = {}
+    for r in sorted(counts.collect(), key=lambda r: r["c"]):
+        out.setdefault((r["s"], r["lo"], r["hi"]), []).append((r["w"], r["least"], r["greatest"]))
+    return out
+
+
+def _locate(cells: list[tuple], k: int, below: int) -> tuple:
+    """The extremes of the cell that holds rank k, and the rows below it."""
+    for w, least, greatest in cells:
+        if k <= below + w:
+            return least, greatest, below
+        below += w
+    raise AssertionError("rank beyond the counted rows")
 
 
 def quantiles(df: DataFrame, value: Column, probs: Sequence[float], stratum: Column | None = None,
-              strata: Sequence | None = None) -> DataFrame:
-    """Exact, linearly interpolated quantiles: (stratum, n, p, value)."""
-    def ranks(n: Column) -> Column:
-        wanted = []
+              strata: Sequence | None = None) -> list[tuple]:
+    """Exact, linearly interpolated quantiles: [(stratum, p, value), ...]."""
+    def spots(n: int, p: float) -> tuple[int, int, float]:
+        pos = (n - 1) * p
+        low = int(pos)
+        return low + 1, min(low + 2, n), pos - low
+
+    clean = F.when(F.isnan(value.cast("double")), None).otherwise(value.cast("double"))
+    found = order_statistics(df, clean, lambda n: [k for p in probs for k in spots(n, p)[:2]], stratum, strata)
+    at = {(f.stratum, f.k): f.v for f in found}
+    out = []
+    for s, n in {(f.stratum, f.n) for f in found}:
         for p in probs:
-            pos = (n - 1) * F.lit(float(p))
-            wanted += [F.floor(pos) + 1, F.ceil(pos) + 1]
-        return F.array(*wanted)
-
-    found = order_statistics(df, value.cast("double"), ranks, stratum, strata)
-    by_rank = found.groupBy("stratum", "n").agg(
-        F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("at"))  # two entries per p
-    cells = []
-    for p in probs:
-        pos = (F.col("n") - 1) * F.lit(float(p))
-        low, high = F.col("at")[F.floor(pos) + 1], F.col("at")[F.ceil(pos) + 1]
-        cells.append(F.struct(F.lit(float(p)).alias("p"),
-                              (low + (high - low) * (pos - F.floor(pos))).alias("value")))
-    return (by_rank.select("stratum", "n", F.explode(F.array(*cells)).alias("q"))
-            .select("stratum", "n", "q.p", "q.value"))
+            low, high, part = spots(n, p)
+            out.append((s, p, at[(s, low)] + (at[(s, high)] - at[(s, low)]) * part))
+    return out
 
 
 def running_counts(df: DataFrame, value: Column, weights: dict[str, Column], pieces: int = 256) -> DataFrame:

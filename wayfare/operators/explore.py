@@ -8,11 +8,11 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from wayfare.functions.columns import half_up, ratio, share, unpivot
+from wayfare.functions.columns import half_up, pearson, ratio, share, unpivot
 from wayfare.functions.ordering import quantiles
 from wayfare.operators.entities import age_band
 
-OUT = "outbound"
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -69,10 +69,11 @@ def numeric_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFr
     base = long.groupBy("column").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantiles(long, F.col("value"), [0.25, 0.5, 0.75], F.col("column"), list(columns))
-    at = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
-    q = q.groupBy(F.col("stratum").alias("column")).agg(at(0.25).alias("p25"), at(0.5).alias("p50"),
-                                                        at(0.75).alias("p75"))
+    at: dict = {}
+    for column, p, value in quantiles(long, F.col("value"), QUARTILES, F.col("column"), list(columns)):
+        at.setdefault(column, {})[p] = value
+    rows = [(c, *[at[c][p] for p in QUARTILES]) for c in at]
+    q = df.sparkSession.createDataFrame(rows, "column string, p25 double, p50 double, p75 double")
     return base.join(q, "column", "left").select(F.lit(table).alias("table"), "column", "n", "mean", "std", "min",
                                                  "p25", "p50", "p75", "max")
 
@@ -96,7 +97,7 @@ def round_trip_share(legs: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def corr_pair(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(F.corr(a, b).alias("r"))
+    return df.agg(pearson(_bt(a), _bt(b)).alias("r"))
 
 
 def variance_explained(legs: DataFrame, keys: Sequence[str], value: str = "price") -> DataFrame:
@@ -224,7 +225,7 @@ def spend_by_age_band(udf: DataFrame) -> DataFrame:
 
 
 def age_value_corr(udf: DataFrame) -> DataFrame:
-    return udf.agg(F.corr("age", "n_trips").alias("r_trips"), F.corr("age", "total_spend").alias("r_spend"))
+    return udf.agg(pearson(_bt("age"), _bt("n_trips")).alias("r_trips"), pearson(_bt("age"), _bt("total_spend")).alias("r_spend"))
 
 
 def trip_length_mix(trips: DataFrame) -> DataFrame:
@@ -269,7 +270,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     aggs, cells = [], {}
     wide = df
     for i, (a, b) in enumerate(combinations(columns, 2)):
-        aggs.append(F.corr(_bt(a), _bt(b)).alias(f"r{i}"))
+        aggs.append(pearson(_bt(a), _bt(b)).alias(f"r{i}"))
         cells[f"{a}~{b}"] = {"r": F.col(f"r{i}")}
     return unpivot(wide.agg(*aggs), [], "pair", cells)
 
@@ -289,8 +290,8 @@ def rfm_medians(udf: DataFrame) -> DataFrame:
     cells = {"n_trips": {"value": F.col("n_trips").cast("double")},
              "recency_days": {"value": F.col("recency_days").cast("double")}}
     long = unpivot(udf.na.drop(subset=["n_trips"]), [], "metric", cells)
-    return quantiles(long, F.col("value"), [0.5], F.col("metric"), list(cells)).select(
-        F.col("stratum").alias("metric"), F.col("value").alias("median"))
+    rows = [(m, v) for m, _, v in quantiles(long, F.col("value"), [0.5], F.col("metric"), list(cells))]
+    return udf.sparkSession.createDataFrame(rows, "metric string, median double")
 
 
 def mean_shares(behaviour: DataFrame) -> DataFrame:
@@ -315,6 +316,6 @@ def class_mean_gap(labelled: DataFrame, label: str, one: str, two: str, columns:
 def feature_label_corr(labelled: DataFrame, label: str, positive: str, columns: Sequence[str]) -> DataFrame:
     """Point-biserial r of each feature with the binary label."""
     y = (_bt(label) == positive).cast("double")
-    wide = labelled.agg(*[F.corr(_bt(c).cast("double"), y).alias(f"r{i}") for i, c in enumerate(columns)])
+    wide = labelled.agg(*[pearson(_bt(c), y).alias(f"r{i}") for i, c in enumerate(columns)])
     return unpivot(wide, [], "feature", {c: {"r": F.col(f"r{i}"), "abs_r": F.abs(F.col(f"r{i}"))}
                                          for i, c in enumerate(columns)})

@@ -7,7 +7,8 @@ compared with literals, so no split shuffles or sorts the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,30 +18,31 @@ from wayfare.functions.ordering import order_statistics, small_values
 HEAVY_PARTS = 100
 
 
-def _cuts(df: DataFrame, order: Column, ranks, stratum: Column | None = None,
+def _cuts(df: DataFrame, order: Column, ranks: Callable[[int], Sequence[int]], stratum: Column | None = None,
           strata: Sequence | None = None) -> dict:
-    """{stratum: [cut, ...]} in rank order; at most strata x ranks values reach the driver.
-
-    A rank of 0 (an empty part) has no row, hence no cut. One grid level is enough for a hash.
-    """
-    found = order_statistics(df, order, ranks, stratum, strata, levels=1).collect()
+    """{stratum: [cut, ...]} in rank order. A rank of 0, an empty part, has no row and no cut."""
     cuts: dict = {}
-    for row in sorted(found, key=lambda r: (str(r["stratum"]), r["k"])):
-        cuts.setdefault(row["stratum"], []).append(row["v"])
+    for found in sorted(order_statistics(df, order, ranks, stratum, strata), key=lambda f: f.k):
+        cuts.setdefault(found.stratum, []).append(found.v)
     return cuts
 
 
+def _part(size: int, share: float) -> int:
+    """ceil(share x size), without the binary error of the product (0.2 x 15 is 3, not 4)."""
+    return math.ceil(round(size * share, 9))
+
+
 def sample_rows(df: DataFrame, keys: Sequence[Column], n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows without replacement (all rows if there are fewer): the n smallest hashes."""
     order = hash_order(*keys, seed=seed)
-    cut = _cuts(df, order, lambda size: F.array(F.least(F.lit(n).cast("long"), size)))
+    cut = _cuts(df, order, lambda size: [min(n, size)])
     return df.where(order <= cut[0][0]) if cut else df
 
 
 def split_random(df: DataFrame, keys: Sequence[Column], test: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds `is_test`: the ceil(test x n) rows of the smallest hashes."""
     order = hash_order(*keys, seed=seed)
-    cut = _cuts(df, order, lambda size: F.array(F.ceil(size * F.lit(test))))
+    cut = _cuts(df, order, lambda size: [_part(size, test)])
     return df.withColumn("is_test", (order <= cut[0][0]) if cut else F.lit(False))
 
 
@@ -49,7 +51,7 @@ def split_stratified(df: DataFrame, label: str, keys: Sequence[Column], test: fl
     """Adds `is_test`: round(test x n) rows of every label."""
     order = hash_order(*keys, seed=seed)
     strata = small_values(df, label)
-    cuts = _cuts(df, order, lambda size: F.array(F.round(size * F.lit(test)).cast("long")), F.col(label), strata)
+    cuts = _cuts(df, order, lambda size: [int(size * test + 0.5)], F.col(label), strata)
     return df.withColumn("is_test", _by_label(label, {s: (order <= c[0]) for s, c in cuts.items()}, F.lit(False)))
 
 
@@ -57,7 +59,7 @@ def split_grouped(df: DataFrame, group: str, test: float = 0.2, seed: int = 42)
     """Adds `is_test`: all rows of ceil(test x groups) whole groups."""
     order = hash_order(F.col(f"`{group}`"), seed=seed)
     groups = df.select(f"`{group}`").distinct()
-    cut = _cuts(groups, order, lambda size: F.array(F.ceil(size * F.lit(test))))
+    cut = _cuts(groups, order, lambda size: [_part(size, test)])
     return df.withColumn("is_test", (order <= cut[0][0]) if cut else F.lit(False))
 
 
@@ -79,8 +81,8 @@ def fold_stratified(df: DataFrame, label: str, keys: Sequence[Column], k: int =
     order = hash_order(*keys, seed=seed)
     strata = small_values(df, label)
 
-    def ends(size: Column) -> Column:  # last rank of the folds 0..k-2
-        return F.array(*[F.floor(size * i / k) for i in range(1, k)])
+    def ends(size: int) -> list[int]:  # last rank of the folds 0..k-2
+        return [size * i // k for i in range(1, k)]
 
     cuts = _cuts(df, order, ends, F.col(label), strata)
     fold = {s: sum(((order > c).cast("int") for c in cs), F.lit(0)) for s, cs in cuts.items()}
@@ -167,5 +169,5 @@ def shuffled_labels(df: DataFrame, key: Column, label: str, seed: int) -> DataFr
     positives = df.where(F.col(label) == 1).count()
     if positives == 0:
         return df
-    cut = _cuts(df, order, lambda size: F.array(F.lit(positives).cast("long")))
+    cut = _cuts(df, order, lambda size: [positives])
     return df.withColumn(label, (order <= cut[0][0]).cast(df.schema[label].dataType))

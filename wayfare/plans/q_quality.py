@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from wayfare import schemas as S
@@ -218,8 +219,15 @@ ALL_ROWS = (SCHEMA_ROWS + NULL_ROWS + BOUND_ROWS + DUP_ROWS + DOMAIN_ROWS + REF_
 
 @query("dq_report", with_(*T_LABEL) + _union(ALL_ROWS))
 def dq_report(spark, sf):
-    """Both scopes, not strict: the order database breaks several travel rules."""
-    raw = Frames(spark, sf).raw
+    """Both scopes, not strict: the order database breaks several travel rules.
+
+    The raw frames are joins here, so they are kept on disk until the report is done; raw files
+    and written tables would simply be scanned again.
+    """
+    raw = {name: df.persist(StorageLevel.DISK_ONLY) for name, df in Frames(spark, sf).raw.items()}
     tables = build_tables(raw, domain.CLASSES, domain.AGENCIES)
     report = quality.union_all([quality.validate_raw(raw, spark, DOMAINS), quality.validate_processed(tables, spark)])
-    return quality.gate(report, strict=False).drop("message")
+    done = quality.gate(report, strict=False).drop("message")
+    for df in raw.values():
+        df.unpersist()
+    return done

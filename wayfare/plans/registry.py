@@ -45,7 +45,7 @@ def plain(df: DataFrame, **digits: int) -> DataFrame:
 
 def r(expr: str, digits: int) -> str:
     """Round half away from zero; the tiny shift keeps exact decimal ties ties in binary."""
-    return f"round(({expr}) + sign({expr}) * 1e-9, {digits})"
+    return f"round(({expr}) + sign({expr}) * 5e-{digits + 5}, {digits})"
 
 
 def iso(expr: str) -> str:
