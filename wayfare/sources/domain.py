@@ -99,3 +99,23 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
             .join(labels, "doc_id", "left")
             .withColumn("known", F.col("label").isNotNull()))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests: one per order. Some lack an origin, a date or a valid destination."""
+    nation = table(spark, sf_dir, "nation")
+    origin = nation.select(F.col("n_nationkey").alias("_o"), F.col("n_name").alias("from"))
+    home = (table(spark, sf_dir, "customer")
+            .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("to")),
+                  "c_nationkey", "left")
+            .select(F.col("c_custkey").alias("o_custkey"), "to", "c_mktsegment", F.col("c_name").alias("name")))
+    key = F.month("o_orderdate") * 2 + F.when(F.col("o_orderstatus") == "P", 3).otherwise(0)
+    rich = F.col("o_totalprice") >= 100_000
+    return (table(spark, sf_dir, "orders").withColumn("_o", key)
+            .join(origin, "_o", "left").join(home, "o_custkey", "left")
+            .select(F.col("o_orderkey").alias("request_id"), "from", "to", F.col("o_orderstatus").alias("flightType"),
+                    F.col("o_orderpriority").alias("agency"),
+                    F.when(rich, F.col("o_orderdate").cast("date")).alias("date"), "name",
+                    F.when(F.col("o_orderpriority") == "5-LOW", F.col("c_mktsegment"))
+                    .when(rich, F.col("to")).alias("destination"),
+                    F.floor(F.col("o_totalprice") / 50_000).cast("int").alias("top_k")))
