@@ -129,8 +129,8 @@ def running_counts(df: DataFrame, value: Column, weights: dict[str, Column], pie
                .groupBy("v").agg(*[F.sum(k).alias(k) for k in weights]))
     bounds = (grouped.select("v").orderBy(F.xxhash64("v"), "v").limit(pieces)
               .agg(F.array_sort(F.collect_list("v")).alias("b")))  # at most `pieces` values
-    bound = bounds.scalar()
-    cut_up = grouped.withColumn("piece", F.size(F.filter(bound, lambda b: b < F.col("v"))))
+    cut_up = (grouped.withColumn("_b", bounds.scalar())
+              .withColumn("piece", F.size(F.filter("_b", lambda b: b < F.col("v")))).drop("_b"))
     totals = cut_up.groupBy("piece").agg(*[F.sum(k).alias(f"_{k}") for k in weights])
     upto = W.orderBy("piece").rowsBetween(W.unboundedPreceding, -1)  # at most `pieces` + 1 rows
     offsets = totals.select("piece", *[F.coalesce(F.sum(f"_{k}").over(upto), F.lit(0)).alias(f"_off_{k}")

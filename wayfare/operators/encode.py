@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizer, ElementwiseProduct, IDF, Normalizer, OneHotEncoder, StringIndexer, VectorAssembler)
@@ -85,11 +86,13 @@ def fit_text(df: DataFrame, text: str, lo: int = 2, hi: int = 4, min_df: int = 2
     """The same weights as vectors, for the classifiers. The vocabulary lives on the driver, so
     its size is checked; n-grams of up to four characters stay far below the limit."""
     grams = df.select(F.coalesce(text_grams(_bt(text), lo, hi), F.array().cast("array<string>")).alias("_grams"))
+    grams.persist(StorageLevel.DISK_ONLY)  # three passes follow
     counted = CountVectorizer(inputCol="_grams", outputCol="_tf", minDF=float(min_df),
                               vocabSize=MAX_VOCABULARY).fit(grams)
     if len(counted.vocabulary) >= MAX_VOCABULARY:
         raise ValueError("n-gram vocabulary too large for a driver-held model")
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(grams)).idf.toArray() + 1.0
+    grams.unpersist()
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf")
     return PipelineModel([counted, scaled, Normalizer(inputCol="_tfidf", outputCol=out, p=2.0)])
 

@@ -93,10 +93,18 @@ def users(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
     return df.select(*want)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread by key if their files give fewer splits than there are cores:
+    cutting texts into n-grams costs far more than moving them."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their label where one is known: the text classification pool."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return (table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return (documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
             .join(labels, "doc_id", "left")
             .withColumn("known", F.col("label").isNotNull()))
 
