@@ -6,7 +6,10 @@ frame; predictions are columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +25,8 @@ from wayfare.operators import folds, metrics
 from wayfare.operators.encode import Encoder, fit_encoder
 
 BINS = 256
+ROWS_PER_TASK = 10_000
+PARALLEL = 4
 MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
 
 
@@ -49,10 +54,37 @@ class Model:
 Fit = Callable[[DataFrame], Model]
 
 
-def encoded(encoder: Encoder, df: DataFrame, label: str = "label") -> DataFrame:
-    """The two columns an estimator needs, kept on disk and memory while it iterates."""
-    return (encoder.transform(df).select("features", F.col(label).cast("double").alias("label"))
+@contextmanager
+def encoded(encoder: Encoder, df: DataFrame, label: str = "label") -> Iterator[tuple[DataFrame, int]]:
+    """(frame, rows): the two columns an estimator needs, kept while it iterates.
+
+    An iterative fit runs one job per step, so a small frame is put into few tasks; a large one
+    keeps its partitions (coalesce never adds or shuffles any).
+    """
+    kept = (encoder.transform(df).select("features", F.col(label).cast("double").alias("label"))
             .persist(StorageLevel.MEMORY_AND_DISK))
+    n = kept.count()
+    yield kept.coalesce(tasks_for(n)), n
+    kept.unpersist()
+
+
+def side_by_side(jobs: Sequence[Callable]) -> list:
+    """Run a few driver-side loops of Spark jobs at the same time; results keep their order."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, math.ceil(rows / ROWS_PER_TASK))
+
+
+def settle(df: DataFrame, *kept: DataFrame) -> DataFrame:
+    """A metric table, a few rows per model and fold, taken to the driver so that the frames kept
+    for it can be released."""
+    rows = df.collect()
+    for frame in kept:
+        frame.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def ridge(alpha: float, data: DataFrame) -> LinearRegression:
@@ -84,9 +116,8 @@ def fit_price(kind: str, train: DataFrame, **params) -> Model:
     label = ratio(F.col("price"), F.col("distance")) if per_unit else F.col("price")
     rows = train.withColumn("label", label).where(F.col("label").isNotNull())
     encoder = fit_encoder(rows, S.PRICE_CAT, S.PRICE_NUM, scale=False, impute=False)
-    data = encoded(encoder, rows)
-    fitted = price_estimator(kind.removesuffix("_rate_per_km"), data, **params).fit(data)
-    data.unpersist()
+    with encoded(encoder, rows) as (data, _):
+        fitted = price_estimator(kind.removesuffix("_rate_per_km"), data, **params).fit(data)
     return Model(kind, encoder, fitted, per_unit)
 
 
@@ -112,14 +143,16 @@ def evaluate_price(legs: DataFrame, keys: Sequence, models: dict[str, dict] | No
     """Every model on a random and on a grouped split: one row of metrics per (split, model),
     with the best grouped RMSE marked as selected."""
     models = models or {m: {} for m in PRICE_MODELS}
-    parts = []
-    for how in ("random", "grouped"):
-        cut = (folds.split_random(legs, keys, 0.2, seed) if how == "random"
-               else folds.split_grouped(legs, "route", 0.2, seed))
-        train, test = cut.where(~F.col("is_test")), cut.where("is_test")
-        for name, params in models.items():
-            parts.append(predictions(fit_price(name, train, **params), test, "price", split=how, model=name))
+    cuts = {"random": folds.split_random(legs, keys, 0.2, seed),
+            "grouped": folds.split_grouped(legs, "route", 0.2, seed)}
+
+    def held_out(how: str, name: str) -> DataFrame:
+        fitted = fit_price(name, cuts[how].where(~F.col("is_test")), **models[name])
+        return predictions(fitted, cuts[how].where("is_test"), "price", split=how, model=name)
+
+    parts = side_by_side([lambda h=h, m=m: held_out(h, m) for h in cuts for m in models])
     scored = metrics.score_regression(union(parts), ["split", "model"])
+    scored = settle(scored)
     best = scored.where("split = 'grouped'").agg(F.min(F.struct("rmse", "model"))["model"]).scalar()
     return scored.withColumn("selected", F.col("model") == best)
 
@@ -172,9 +205,8 @@ def fit_label(kind: str, train: DataFrame, inputs: LabelInputs, label: str = "la
     if kind == "baseline_majority":
         return fit_majority(train, label)
     encoder = label_encoder(kind, train, inputs, **params)
-    data = encoded(encoder, train, label)
-    fitted = label_estimator(kind, data.count(), **params).fit(data)
-    data.unpersist()
+    with encoded(encoder, train, label) as (data, n):
+        fitted = label_estimator(kind, n, **params).fit(data)
     return Model(kind, encoder, fitted)
 
 
@@ -184,11 +216,12 @@ def evaluate_labels(df: DataFrame, inputs: LabelInputs, key, label: str = "label
     models = models or {m: {} for m in LABEL_MODELS}
     cut = folds.split_stratified(df, label, [key], test, seed)
     train, held = cut.where(~F.col("is_test")), cut.where("is_test")
-    parts = []
+    parts, kept = [], []
     for name, params in models.items():
         pred = predictions(fit_label(name, train, inputs, label, **params), held, label)
+        kept.append(pred.persist(StorageLevel.MEMORY_AND_DISK))  # several passes follow
         parts.append(metrics.score_classification(pred, score="p1").select(F.lit(name).alias("model"), "*"))
-    return union(parts)
+    return settle(union(parts), *kept)
 
 
 def impute_labels(model: Model, unlabelled: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
@@ -208,4 +241,5 @@ def evaluate_attach(trips: DataFrame, seed: int = 42, **params) -> DataFrame:
     df = trips.withColumn("label", F.col("has_hotel").cast("int"))
     cut = folds.split_stratified(df, "label", [F.col("travelCode")], 0.2, seed)
     model = fit_attach(cut.where(~F.col("is_test")), **params)
-    return metrics.score_classification(predictions(model, cut.where("is_test"), "label"), score="p1")
+    pred = predictions(model, cut.where("is_test"), "label").persist(StorageLevel.MEMORY_AND_DISK)
+    return settle(metrics.score_classification(pred, score="p1"), pred)

@@ -273,6 +273,13 @@ def char_ngram_tfidf(spark, sf):
     return plain(out, max_weight=6, sum_weight=6)
 
 
+def _saved(spark, df: DataFrame, label: str) -> DataFrame:
+    """Written once to the shared folder: the many fits below then read it instead of the joins."""
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # ---- price models -------------------------------------------------------------------------
 
 ROUNDS = {"rounds": 20}
@@ -285,7 +292,7 @@ def _leg_keys():
 
 def _fit_report(f: Frames, kind: str, **params) -> DataFrame:
     """Held-out-route metrics of one family."""
-    cut = folds.split_grouped(f.legs, "route")
+    cut = folds.split_grouped(_saved(f.spark, f.legs, "legs"), "route")
     model = models.fit_price(kind, cut.where(~F.col("is_test")), **params)
     pred = models.predictions(model, cut.where("is_test"), "price", model=kind)
     return metrics.score_regression(pred, ["model"])
@@ -316,7 +323,8 @@ def model_rate_per_km(spark, sf):
 @query("evaluate_price")
 def evaluate_price(spark, sf):
     plans = {"ridge": {}, "decision_tree": {}, "gbt": ROUNDS, "gbt_rate_per_km": ROUNDS}
-    return models.evaluate_price(Frames(spark, sf).legs, _leg_keys(), plans)
+    legs = _saved(spark, Frames(spark, sf).legs, "legs")
+    return models.evaluate_price(legs, _leg_keys(), plans)
 
 
 # ---- label models over the text pool --------------------------------------------------------
@@ -384,13 +392,6 @@ def attach_model(spark, sf):
 
 # ---- cross-validation and search ------------------------------------------------------------
 
-def _saved(spark, df: DataFrame, label: str) -> DataFrame:
-    """Written once to the shared folder: the many fits below then read it instead of the joins."""
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 @query("cv_scores")
 def cv_scores(spark, sf):
     """Ridge and tree on five route folds: mean, spread and interval of R2."""
