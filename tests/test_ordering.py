@@ -58,7 +58,7 @@ def test_auc_matches_all_pairs(spark):
     rows = [(int(rnd.random() < 0.4), round(rnd.random(), 1)) for _ in range(300)]
     df = spark.createDataFrame(rows, "label int, score double")
     want = brute_auc([y for y, _ in rows], [s for _, s in rows])
-    assert metrics.auc(df).first()[0] == pytest.approx(want, abs=1e-12)
+    assert metrics.auc(df.withColumn("n", F.lit(1))).first()[0] == pytest.approx(want, abs=1e-12)
     scored = metrics.score_classification(df.withColumn("prediction", (F.col("score") > 0.5).cast("int"))).first()
     tp = sum(y and s > 0.5 for y, s in rows)
     assert scored["f1"] == pytest.approx(2 * tp / (sum(y for y, _ in rows) + sum(s > 0.5 for _, s in rows)), abs=1e-4)

@@ -13,6 +13,7 @@ WORD_GAP = ("[\\t\\n\\x0B\\f\\r\\x1c-\\x1f \\u0085\\u00a0\\u1680\\u2000-\\u200a"
             "\\u2028\\u2029\\u202f\\u205f\\u3000]+")
 
 HASH_BITS = 60
+HASH_SPAN = (0, (1 << HASH_BITS) - 1)
 
 
 def half_up(c: Column, digits: int) -> Column:

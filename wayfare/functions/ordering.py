@@ -37,33 +37,41 @@ class Ranked:
 
 
 def order_statistics(df: DataFrame, value: Column, ranks: Callable[[int], Sequence[int]],
-                     stratum: Column | None = None, strata: Sequence | None = None) -> list[Ranked]:
+                     stratum: Column | None = None, strata: Sequence | None = None,
+                     span: tuple | None = None) -> list[Ranked]:
     """Exact values at the 1-based `ranks(n)` of each stratum; ranks outside 1..n are left out.
 
     `strata` lists the allowed strata. What the driver sees per pass is bounded by
-    strata x ranks x CELLS counts, and what is broadcast by strata x ranks ranges.
+    strata x ranks x CELLS counts, and what is broadcast by strata x ranks ranges. A known
+    `span` of the values saves the pass that looks for their extremes.
     """
     rows = df.select((F.lit(0) if stratum is None else stratum).alias("s"), value.alias("v"))
     rows = rows.where(F.col("v").isNotNull())
     if stratum is not None:
         rows = rows.where(F.col("s").isin(list(strata)))
-    spans = rows.groupBy("s").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
-    size = {r["s"]: r["n"] for r in spans}
     # (stratum, rank) -> (low, high, rows below low): the range known to hold the rank
-    found = {(r["s"], k): (r["lo"], r["hi"], 0) for r in spans for k in set(ranks(r["n"])) if 1 <= k <= r["n"]}
-    kept = None
+    if span is None:
+        ends = rows.groupBy("s").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        size = {r["s"]: r["n"] for r in ends}
+        found = {(r["s"], k): (r["lo"], r["hi"], 0) for r in ends for k in set(ranks(r["n"])) if 1 <= k <= r["n"]}
+    else:
+        first = _count_cells(_inside(rows, [(s, *span) for s in (strata if strata is not None else [0])]))
+        size = {s: sum(w for w, _, _ in cells) for (s, _, _), cells in first.items()}
+        found = {(s, k): _locate(cells, k, 0) for (s, _, _), cells in first.items()
+                 for k in set(ranks(size[s])) if 1 <= k <= size[s]}
+    kept, passes = None, 0
     while True:
         ranges = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str)
         if not ranges:
             break
         inside = _inside(rows if kept is None else kept, ranges)
+        if kept is None and (span is not None or passes):  # later passes read only the chosen cells
+            kept = inside.select("s", "v").persist(StorageLevel.DISK_ONLY)
+            inside = _inside(kept, ranges)
         cells = _count_cells(inside)
         found = {(s, k): (lo, hi, below) if lo == hi else _locate(cells[(s, lo, hi)], k, below)
                  for (s, k), (lo, hi, below) in found.items()}
-        if kept is None:  # later passes read only the rows of the chosen cells, kept on disk
-            chosen = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str)
-            if chosen:
-                kept = _inside(rows, chosen).select("s", "v").persist(StorageLevel.DISK_ONLY)
+        passes += 1
     if kept is not None:
         kept.unpersist()
     return [Ranked(s, size[s], k, lo) for (s, k), (lo, _, _) in found.items()]

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfare.functions.columns import hash_order
+from wayfare.functions.columns import HASH_SPAN, hash_order
 from wayfare.functions.ordering import order_statistics, small_values
 
 HEAVY_PARTS = 100
@@ -22,7 +22,7 @@ def _cuts(df: DataFrame, order: Column, ranks: Callable[[int], Sequence[int]], s
           strata: Sequence | None = None) -> dict:
     """{stratum: [cut, ...]} in rank order. A rank of 0, an empty part, has no row and no cut."""
     cuts: dict = {}
-    for found in sorted(order_statistics(df, order, ranks, stratum, strata), key=lambda f: f.k):
+    for found in sorted(order_statistics(df, order, ranks, stratum, strata, HASH_SPAN), key=lambda f: f.k):
         cuts.setdefault(found.stratum, []).append(found.v)
     return cuts
 
@@ -47,10 +47,10 @@ def split_random(df: DataFrame, keys: Sequence[Column], test: float = 0.2, seed:
 
 
 def split_stratified(df: DataFrame, label: str, keys: Sequence[Column], test: float = 0.2,
-                     seed: int = 42) -> DataFrame:
-    """Adds `is_test`: round(test x n) rows of every label."""
+                     seed: int = 42, labels: Sequence | None = None) -> DataFrame:
+    """Adds `is_test`: round(test x n) rows of every label. Known `labels` save a pass."""
     order = hash_order(*keys, seed=seed)
-    strata = small_values(df, label)
+    strata = small_values(df, label) if labels is None else list(labels)
     cuts = _cuts(df, order, lambda size: [int(size * test + 0.5)], F.col(label), strata)
     return df.withColumn("is_test", _by_label(label, {s: (order <= c[0]) for s, c in cuts.items()}, F.lit(False)))
 
@@ -76,10 +76,11 @@ def _by_label(label: str, cases: dict, default: Column) -> Column:
 
 
 def fold_stratified(df: DataFrame, label: str, keys: Sequence[Column], k: int = 5, seed: int = 42,
-                    col: str = "fold") -> DataFrame:
-    """Folds 0..k-1 whose sizes differ by at most one row within every label."""
+                    col: str = "fold", labels: Sequence | None = None) -> DataFrame:
+    """Folds 0..k-1 whose sizes differ by at most one row within every label. Known `labels`
+    save a pass."""
     order = hash_order(*keys, seed=seed)
-    strata = small_values(df, label)
+    strata = small_values(df, label) if labels is None else list(labels)
 
     def ends(size: int) -> list[int]:  # last rank of the folds 0..k-2
         return [size * i // k for i in range(1, k)]
@@ -90,11 +91,12 @@ def fold_stratified(df: DataFrame, label: str, keys: Sequence[Column], k: int =
 
 
 def fold_repeated(df: DataFrame, label: str, keys: Sequence[Column], k: int = 5,
-                  seeds: Sequence[int] = (42, 43)) -> DataFrame:
+                  seeds: Sequence[int] = (42, 43), labels: Sequence | None = None) -> DataFrame:
     """One row per (row, repeat), each repeat folded with its own seed."""
     wide = df
+    labels = small_values(df, label) if labels is None else labels
     for seed in seeds:
-        wide = fold_stratified(wide, label, keys, k, seed, f"_fold_{seed}")
+        wide = fold_stratified(wide, label, keys, k, seed, f"_fold_{seed}", labels)
     repeats = F.array(*[F.struct(F.lit(i).alias("repeat"), F.col(f"_fold_{s}").alias("fold"))
                         for i, s in enumerate(seeds)])
     return wide.select(*df.columns, F.explode(repeats).alias("_r")).select(*df.columns, "_r.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfare.functions.columns import hash_order, half_up, ratio, unpivot
@@ -37,31 +38,52 @@ def majority(df: DataFrame, label: str = "label") -> DataFrame:
                   half_up(F.greatest(F.avg(y), 1 - F.avg(y)), 4).alias("majority_accuracy"))
 
 
-def auc(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def score_counts(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+                 score: str = "score") -> DataFrame:
+    """Rows per (score, label, prediction): all that the classification metrics need."""
+    return pred.groupBy(F.col(score).alias("score"), F.col(label).cast("int").alias("label"),
+                        F.col(prediction).cast("int").alias("prediction")).agg(F.count("*").alias("n"))
+
+
+def auc(counts: DataFrame) -> DataFrame:
     """Exact area under the ROC curve: the share of (positive, negative) pairs in the right
     order, ties counting half. Rows are counted per distinct score first, and the negatives below
     each score come from running counts, so nothing is sorted in one task."""
-    y = F.col(label).cast("long")
-    run = running_counts(pred, F.col(score), {"pos": y, "neg": 1 - y})
+    n, y = F.col("n"), F.col("label")
+    run = running_counts(counts, F.col("score"), {"pos": n * y, "neg": n * (1 - y)})
     won = F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0)))
     return run.agg(F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
 
 
 def score_classification(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                          score: str = "score") -> DataFrame:
-    """Accuracy, F1 of the positive class, AUC, and the lift over the majority label."""
-    y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
-    area = auc(pred, label, score).scalar()
-    n, pos = F.count("*"), F.sum(y)
-    hits = F.count_if(y == p)
-    tp = F.count_if((y == 1) & (p == 1))
-    wide = pred.agg(n.alias("n"), ratio(pos, n).alias("base_rate"), ratio(hits, n).alias("accuracy"),
-                    F.coalesce(ratio(2 * tp, pos + F.sum(p)), F.lit(0.0)).alias("f1"))
+    """Accuracy, F1 of the positive class, AUC, and the lift over the majority label.
+
+    The predictions are read once, into counts that are kept until the one result row is known.
+    """
+    counts = score_counts(pred, label, prediction, score).persist(StorageLevel.MEMORY_AND_DISK)
+    y, p = F.col("label"), F.col("prediction")
+    rows = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    n = F.sum("n")
+    wide = counts.agg(n.alias("n"), ratio(rows(y == 1), n).alias("base_rate"),
+                      ratio(rows(y == p), n).alias("accuracy"),
+                      F.coalesce(ratio(2 * rows((y == 1) & (p == 1)), rows(y == 1) + rows(p == 1)),
+                                 F.lit(0.0)).alias("f1"))
     base = F.greatest(F.col("base_rate"), 1 - F.col("base_rate"))
-    return wide.select(
+    out = wide.select(
         "n", half_up(F.col("base_rate"), 4).alias("base_rate"), half_up(base, 4).alias("majority_accuracy"),
         half_up(F.col("accuracy"), 4).alias("accuracy"), half_up(F.col("f1"), 4).alias("f1"),
-        half_up(area, 4).alias("roc_auc"), half_up(F.col("accuracy") - base, 4).alias("lift"))
+        half_up(auc(counts).scalar(), 4).alias("roc_auc"), half_up(F.col("accuracy") - base, 4).alias("lift"))
+    return settle(out, counts)
+
+
+def settle(df: DataFrame, *kept: DataFrame) -> DataFrame:
+    """A metric table, a few rows per model and fold, taken to the driver so that the frames kept
+    for it can be released."""
+    rows = df.collect()
+    for frame in kept:
+        frame.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def interval(scores: DataFrame, by: Sequence[str], score: str = "score", chance: float | None = None) -> DataFrame:

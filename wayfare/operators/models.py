@@ -78,15 +78,6 @@ def tasks_for(rows: int) -> int:
     return max(1, math.ceil(rows / ROWS_PER_TASK))
 
 
-def settle(df: DataFrame, *kept: DataFrame) -> DataFrame:
-    """A metric table, a few rows per model and fold, taken to the driver so that the frames kept
-    for it can be released."""
-    rows = df.collect()
-    for frame in kept:
-        frame.unpersist()
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def ridge(alpha: float, data: DataFrame) -> LinearRegression:
     """Least squares with penalty alpha * |w|^2. Spark divides the loss by n and by the label's
     deviation, so the penalty is scaled likewise to give the closed-form solution."""
@@ -152,7 +143,7 @@ def evaluate_price(legs: DataFrame, keys: Sequence, models: dict[str, dict] | No
 
     parts = side_by_side([lambda h=h, m=m: held_out(h, m) for h in cuts for m in models])
     scored = metrics.score_regression(union(parts), ["split", "model"])
-    scored = settle(scored)
+    scored = metrics.settle(scored)
     best = scored.where("split = 'grouped'").agg(F.min(F.struct("rmse", "model"))["model"]).scalar()
     return scored.withColumn("selected", F.col("model") == best)
 
@@ -216,12 +207,11 @@ def evaluate_labels(df: DataFrame, inputs: LabelInputs, key, label: str = "label
     models = models or {m: {} for m in LABEL_MODELS}
     cut = folds.split_stratified(df, label, [key], test, seed)
     train, held = cut.where(~F.col("is_test")), cut.where("is_test")
-    parts, kept = [], []
+    parts = []
     for name, params in models.items():
         pred = predictions(fit_label(name, train, inputs, label, **params), held, label)
-        kept.append(pred.persist(StorageLevel.MEMORY_AND_DISK))  # several passes follow
         parts.append(metrics.score_classification(pred, score="p1").select(F.lit(name).alias("model"), "*"))
-    return settle(union(parts), *kept)
+    return union(parts)
 
 
 def impute_labels(model: Model, unlabelled: DataFrame, key: str, names: tuple[str, str]) -> DataFrame:
@@ -241,5 +231,4 @@ def evaluate_attach(trips: DataFrame, seed: int = 42, **params) -> DataFrame:
     df = trips.withColumn("label", F.col("has_hotel").cast("int"))
     cut = folds.split_stratified(df, "label", [F.col("travelCode")], 0.2, seed)
     model = fit_attach(cut.where(~F.col("is_test")), **params)
-    pred = predictions(model, cut.where("is_test"), "label").persist(StorageLevel.MEMORY_AND_DISK)
-    return settle(metrics.score_classification(pred, score="p1"), pred)
+    return metrics.score_classification(predictions(model, cut.where("is_test"), "label"), score="p1")

@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfare.functions.columns import half_up, ratio, unpivot
+from wayfare.operators.metrics import settle
 
 TOP_K = 3
 MAX_K = 9
@@ -131,7 +133,11 @@ def next_dest(trips: DataFrame, city_hotel: DataFrame) -> DataFrame:
 
 
 def evaluate_rankers(pairs: DataFrame, trips: DataFrame, city_hotel: DataFrame, k: int = TOP_K) -> DataFrame:
-    """hit_rate@k and precision@k of the three strategies on the held-out pairs."""
+    """hit_rate@k and precision@k of the three strategies on the held-out pairs.
+
+    The pair table is read by every step, so it is kept until the three result rows are known.
+    """
+    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     history, held = leave_one_out(pairs)
     items = item_list(pairs)
     cf = top_k_per_user(item_scores(history, item_similarity(history, items), items), k)
@@ -144,10 +150,11 @@ def evaluate_rankers(pairs: DataFrame, trips: DataFrame, city_hotel: DataFrame,
                       *[F.count_if(F.coalesce(c, F.lit(False))).alias(f"h_{s}") for s, c in hit.items()])
     cells = {s: {"hit_rate": ratio(F.col(f"h_{s}"), F.col("n_users")),
                  "precision": ratio(F.col(f"h_{s}"), F.col("n_users")) / k} for s in hit}
-    return (unpivot(wide, ["n_users"], "strategy", cells)
-            .select("strategy", half_up(F.col("hit_rate"), 4).alias("hit_rate"),
-                    half_up(F.col("precision"), 4).alias("precision"), "n_users")
-            .orderBy(F.desc("hit_rate"), "strategy"))
+    out = (unpivot(wide, ["n_users"], "strategy", cells)
+           .select("strategy", half_up(F.col("hit_rate"), 4).alias("hit_rate"),
+                   half_up(F.col("precision"), 4).alias("precision"), "n_users")
+           .orderBy(F.desc("hit_rate"), "strategy"))
+    return settle(out, pairs)
 
 
 def build_recommender(pairs: DataFrame, stays: DataFrame, catalog: DataFrame) -> dict[str, DataFrame]:

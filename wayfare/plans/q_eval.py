@@ -129,6 +129,9 @@ def _hash(key: str, seed: int = 42) -> str:
 TRIP_HASH = _hash('"travelCode"')
 
 
+YES_NO = (False, True)
+
+
 def _key():
     return [F.col("travelCode")]
 
@@ -160,7 +163,7 @@ def split_grouped(spark, sf):
 SELECT "travelCode", has_hotel, row_number() OVER (PARTITION BY has_hotel ORDER BY {TRIP_HASH})
   <= floor(0.2 * count(*) OVER (PARTITION BY has_hotel) + 0.5) AS is_test FROM trips""")
 def split_stratified(spark, sf):
-    return folds.split_stratified(Frames(spark, sf).trips.select("travelCode", "has_hotel"), "has_hotel", _key())
+    return folds.split_stratified(Frames(spark, sf).trips.select("travelCode", "has_hotel"), "has_hotel", _key(), labels=YES_NO)
 
 
 def _fold_sql(hash_sql: str, k: int) -> str:
@@ -173,7 +176,7 @@ def _fold_sql(hash_sql: str, k: int) -> str:
 @query("fold_stratified", with_(*T_TRIPS) + _fold_sql(TRIP_HASH, 5))
 def fold_stratified(spark, sf):
     trips = Frames(spark, sf).trips.select("travelCode", "has_hotel")
-    return plain(folds.fold_stratified(trips, "has_hotel", _key()))
+    return plain(folds.fold_stratified(trips, "has_hotel", _key(), labels=YES_NO))
 
 
 @query("fold_repeated", with_(*T_TRIPS) + f"""
@@ -181,7 +184,7 @@ SELECT 0 AS repeat, * FROM ({_fold_sql(TRIP_HASH, 5)})
 UNION ALL SELECT 1, * FROM ({_fold_sql(_hash('"travelCode"', 43), 5)})""")
 def fold_repeated(spark, sf):
     trips = Frames(spark, sf).trips.select("travelCode", "has_hotel")
-    return plain(folds.fold_repeated(trips, "has_hotel", _key()))
+    return plain(folds.fold_repeated(trips, "has_hotel", _key(), labels=YES_NO))
 
 
 @query("fold_group")
