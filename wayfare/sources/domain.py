@@ -109,8 +109,15 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("known", F.col("label").isNotNull()))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as a file stream."""
+    schema = table(spark, sf_dir, "orders").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+
+
+def requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Scoring requests: one per order. Some lack an origin, a date or a valid destination."""
+    orders = table(spark, sf_dir, "orders") if orders is None else orders
     nation = table(spark, sf_dir, "nation")
     origin = nation.select(F.col("n_nationkey").alias("_o"), F.col("n_name").alias("from"))
     home = (table(spark, sf_dir, "customer")
@@ -119,7 +126,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("c_custkey").alias("o_custkey"), "to", "c_mktsegment", F.col("c_name").alias("name")))
     key = F.month("o_orderdate") * 2 + F.when(F.col("o_orderstatus") == "P", 3).otherwise(0)
     rich = F.col("o_totalprice") >= 100_000
-    return (table(spark, sf_dir, "orders").withColumn("_o", key)
+    return (orders.withColumn("_o", key)
             .join(origin, "_o", "left").join(home, "o_custkey", "left")
             .select(F.col("o_orderkey").alias("request_id"), "from", "to", F.col("o_orderstatus").alias("flightType"),
                     F.col("o_orderpriority").alias("agency"),
