@@ -16,6 +16,7 @@ TOP_K = 3
 MAX_K = 9
 SCORE_DIGITS = 9  # scores are compared after rounding, so equal affinities tie everywhere
 MAX_ITEMS = 4096
+SLICE_CELLS = 4_000_000  # users x items of one dense slice in a task
 
 
 def leave_one_out(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -50,10 +51,13 @@ def item_list(pairs: DataFrame) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def _vectors(history: DataFrame) -> DataFrame:
-    """One row per user with the user's item weights; at most one entry per item."""
-    return history.groupBy("user").agg(
-        F.collect_list(F.struct("hotel", F.col("bookings").cast("double").alias("w"))).alias("basket"))
+def _vectors(history: DataFrame, items: list[str]) -> DataFrame:
+    """One row per user: item positions and weights, at most one entry per item. The position
+    table holds at most MAX_ITEMS rows."""
+    spots = history.sparkSession.createDataFrame(list(zip(items, range(len(items)))), "hotel string, i int")
+    entry = F.struct("i", F.col("bookings").cast("double").alias("w"))
+    return (history.join(F.broadcast(spots), "hotel").groupBy("user").agg(F.collect_list(entry).alias("e"))
+            .select(F.col("e.i").alias("i"), F.col("e.w").alias("w")))
 
 
 def item_dots(history: DataFrame, items: list[str]) -> DataFrame:
@@ -62,21 +66,23 @@ def item_dots(history: DataFrame, items: list[str]) -> DataFrame:
     Each task adds its users' outer products into one items x items matrix and emits that once,
     so no pair of a user's items is ever a row; the tasks' matrices are then summed by key.
     """
-    position = {item: i for i, item in enumerate(items)}
+    n = len(items)
+    step = max(1, SLICE_CELLS // max(n, 1))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((len(position), len(position)))
+        total = np.zeros((n, n))
         for batch in batches:
-            block = np.zeros((len(batch), len(position)))
-            for row, basket in enumerate(batch["basket"]):
-                for entry in basket:
-                    block[row, position[entry["hotel"]]] += entry["w"]
-            total += block.T @ block
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start:start + step]
+                block = np.zeros((len(part), n))
+                row = np.repeat(np.arange(len(part)), part["i"].map(len))
+                block[row, np.concatenate(part["i"].to_numpy())] = np.concatenate(part["w"].to_numpy())
+                total += block.T @ block
         a, b = np.nonzero(total)
         yield pd.DataFrame({"a": a, "b": b, "dot": total[a, b]})
 
     names = F.array(*[F.lit(i) for i in items])
-    sums = (_vectors(history).select("basket").mapInPandas(partial, "a long, b long, dot double")
+    sums = (_vectors(history, items).mapInPandas(partial, "a long, b long, dot double")
             .groupBy("a", "b").agg(F.sum("dot").alias("dot")))
     return sums.select(F.get(names, F.col("a").cast("int")).alias("a"),
                        F.get(names, F.col("b").cast("int")).alias("b"), "dot")
@@ -86,9 +92,9 @@ def item_similarity(history: DataFrame, items: list[str] | None = None) -> DataF
     """Cosine between items over the booking matrix, without the diagonal: (a, b, sim)."""
     items = item_list(history) if items is None else items
     dots = item_dots(history, items)
-    norm = dots.where(F.col("a") == F.col("b")).select("a", F.sqrt("dot").alias("norm"))
-    left = norm.withColumnRenamed("norm", "na")
-    right = norm.withColumnsRenamed({"a": "b", "norm": "nb"})
+    weight = F.col("bookings").cast("double")
+    norm = history.groupBy("hotel").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
+    left, right = (norm.withColumnsRenamed({"hotel": side, "norm": f"n{side}"}) for side in ("a", "b"))
     guard = lambda c: F.when(F.col(c) == 0, 1e-9).otherwise(F.col(c))
     return (dots.where(F.col("a") != F.col("b")).join(left, "a").join(right, "b")
             .select("a", "b", (F.col("dot") / (guard("na") * guard("nb"))).alias("sim")))
