@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import pieces, tokens
+from wayfare.llm import pieces, rules, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -34,3 +34,52 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pieces")
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op2_quality_rules", r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+           FROM documents),
+tri AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS x(k) GROUP BY doc_id),
+c AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
+             CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+             length(regexp_replace(t, '[^a-z]', '', 'g')) AS n_lower,
+             length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits
+      FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 10 * n_words OR 100 * n_dup_lines > 60 * n_lines
+            OR word_chars < 3 * n_words OR word_chars > 12 * n_words
+            OR 100 * n_upper > 40 * (n_upper + n_lower) OR 100 * n_digits > 20 * word_chars) AS kept
+FROM j
+""")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.count_and_judge(docs, rules.order_rules(docs, rules.METHOD_RULES))
+
+
+@query("op4_substrings", r"""
+WITH w AS (SELECT doc_id, i, w[i] AS x FROM (
+             SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (
+               SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents))),
+g AS (SELECT doc_id, i, string_agg(x, ' ') OVER s AS run, count(*) OVER s AS n
+      FROM w WINDOW s AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY run) AS c FROM g WHERE n = 35) WHERE c > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM twice, (SELECT unnest(range(35)) AS k)),
+kept AS (SELECT w.doc_id, count(*) AS n_words, count(gone.i) AS n_removed,
+                string_agg(CASE WHEN gone.i IS NULL THEN x END, ' ' ORDER BY w.i) AS t
+         FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
+""")
+def substrings_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest_repeats(table(spark, sf_dir, "documents"))
