@@ -23,8 +23,8 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
-def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets of the rows within them) for runs of rows of about `most` bytes."""
+def slices(column: pa.Array, most: int = SLICE, rows: int = 1 << 30) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets of the rows within them) for runs of up to `rows` rows, of about `most` bytes."""
     if pa.types.is_null(column.type):
         column = column.cast(pa.string())
     if column.null_count:
@@ -39,7 +39,7 @@ def slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarra
     row = 0
     while row < n:
         end = int(np.searchsorted(at, at[row] + most, side="right")) - 1
-        end = min(n, max(end, row + 1))
+        end = min(n, max(end, row + 1), row + rows)
         yield row, raw[at[row]:at[end]], at[row:end + 1] - at[row]
         row = end
 
