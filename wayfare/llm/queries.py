@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import jaccard, maintext, neighbours, pieces, pii, rules, substrings, tokens
+from wayfare.llm import decontam, jaccard, maintext, neighbours, pieces, pii, rules, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,8 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return neighbours.score(docs, neighbours.fit(docs, table(spark, sf_dir, "labels"), "quality"))
+
+
+@query("op6_decontamination")
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -92,11 +92,14 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np
 
 
 class Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of a slice: byte spans, and for each text the range of its words."""
+    """Words of a slice: byte spans, and for each text the range of its words.
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray):
+    A word is a run of bytes that `table` marks, by default `[^\\x20\\x09-\\x0D]+`.
+    """
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, table: np.ndarray = IS_WORD):
         self.buf, self.offsets = buf, offsets
-        word = IS_WORD[buf]
+        word = table[buf]
         before = np.empty_like(word)
         before[:1], before[1:] = False, word[:-1]
         firsts = offsets[:-1]
