@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import decontam, jaccard, maintext, neighbours, pieces, pii, rules, substrings, tokens
+from wayfare.llm import decontam, idfiles, jaccard, maintext, neighbours, pieces, pii, rules, substrings, tokens
+from wayfare.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -123,3 +124,10 @@ def quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontamination")
 def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_id_files")
+def id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    idfiles.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return idfiles.digest_ids(spark, path)
