@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,22 +106,50 @@ def test_leave_one_out(pairs):
 
 def test_similarity_and_scores(pairs):
     history, _ = rec.leave_one_out(pairs)
-    items = rec.item_list(pairs)
-    sim = rec.item_similarity(history, items)
+    sim = rec.item_similarity(history)
     want = 1 * 3 / (math.sqrt(4 + 1) * math.sqrt(9 + 4))  # A = (2, 1, 0), B = (0, 3, 2) over users 1, 2, 4
     assert {(r["a"], r["b"]): round(r["sim"], 12) for r in sim.collect()} == {
         ("A", "B"): round(want, 12), ("B", "A"): round(want, 12)}
-    scores = {(r["user"], r["hotel"]): r["score"] for r in rec.item_scores(history, sim, items).collect()}
-    assert len(scores) == 9  # three users, every item, also those of affinity zero
-    assert scores[(1, "B")] == pytest.approx(2 * want, abs=1e-9) and scores[(1, "A")] == 0 and scores[(4, "C")] == 0
-    top = rec.top_k_per_user(rec.item_scores(history, sim, items), 2)
-    assert rows(top.where("user = 1"), "rank", "hotel") == [(1, "B"), (2, "A")]
-
-
-def test_item_limit(spark, monkeypatch, pairs):
-    monkeypatch.setattr(rec, "MAX_ITEMS", 2)
-    with pytest.raises(ValueError):
-        rec.item_list(pairs)
+    scores = {(r["user"], r["hotel"]): r["score"] for r in rec.item_scores(history, sim).collect()}
+    assert set(scores) == {(1, "B"), (2, "A"), (2, "B"), (4, "A")}  # affinities of zero are not rows
+    assert scores[(1, "B")] == pytest.approx(2 * want, abs=1e-9)
+    top = rec.ranked_items(history, pairs, 2)
+    assert rows(top.where("user = 1"), "rank", "hotel", "score") == [(1, "B", scores[(1, "B")]), (2, "A", 0.0)]
+    assert rows(rec.ranked_items(history, pairs, 3).where("user = 4"), "rank", "hotel") == [(1, "A"), (2, "B"), (3, "C")]
+
+
+def test_many_items(spark, monkeypatch):
+    """5,000 items, more than one chunk of products, against numpy."""
+    monkeypatch.setattr(rec, "PAIR_CELLS", 1000)
+    rng = np.random.default_rng(2)
+    cells = {(u, int(i)): int(w) for u in range(300) for i, w in zip(rng.integers(0, 5000, 30), rng.integers(1, 5, 30))}
+    cells |= {(300, i): 1 for i in range(5000) if i % 50 == 0} | {(301, 1): 2}
+    history = spark.createDataFrame([(u, f"h{i:04d}", w) for (u, i), w in cells.items()], "user long, hotel string, bookings long")
+    dense = np.zeros((302, 5000))
+    for (u, i), w in cells.items():
+        dense[u, i] = w
+    norm = np.sqrt((dense * dense).sum(axis=0))
+    sim = dense.T @ dense / np.where(norm > 0, norm, 1)[:, None] / np.where(norm > 0, norm, 1)[None, :]
+    np.fill_diagonal(sim, 0)
+    got = {(r["a"], r["b"]): r["sim"] for r in rec.item_similarity(history).collect()}
+    a, b = np.nonzero(sim)
+    assert len(got) == len(a) and all(abs(got[f"h{i:04d}", f"h{j:04d}"] - sim[i, j]) < 1e-9 for i, j in list(zip(a, b))[::97])
+    score = np.round(dense @ sim, rec.SCORE_DIGITS)
+    top = rec.ranked_items(history, history, 4).where("user in (0, 7, 300, 301)").collect()
+    used = np.flatnonzero(norm)
+    for u in (0, 7, 300, 301):
+        want = sorted(used, key=lambda i: (-score[u, i], i))[:4]
+        assert [r["hotel"] for r in sorted(top, key=lambda r: r["rank"]) if r["user"] == u] == [f"h{i:04d}" for i in want]
+
+
+def test_unnamed_stays_are_no_pairs(spark):
+    stays = spark.createDataFrame([(1, None, 1, 1.0, "2020-01-01"), (1, "A", 1, 1.0, "2020-01-01"), (None, "A", 2, 1.0, "2020-01-01")],
+                                  "userCode long, name string, days int, total double, date string")
+    assert rows(features.user_hotel_interactions(stays), "user", "hotel", "bookings") == [(1, "A", 1)]
+
+
+def test_a_new_brand_gets_a_column(pairs):
+    assert rec.interaction_matrix(pairs).columns == ["user", "A", "B", "C"]
 
 
 def test_recommend(spark, pairs):
@@ -133,3 +162,8 @@ def test_recommend(spark, pairs):
     assert rows(got, "request_id", "rank", "hotel", "strategy") == [
         (1, 1, "C", "destination-aware"), (1, 2, "B", "destination-aware"), (2, 1, "B", "popularity"),
         (2, 2, "A", "popularity"), (3, 1, "B", "destination-aware"), (3, 2, "A", "destination-aware")]
+    many = spark.createDataFrame([(1, f"h{i:02d}", 20 - i) for i in range(12)], "user long, hotel string, bookings long")
+    longer = artifact | {"popularity": rec.popularity(many)}
+    assert rec.recommend(req, longer, 12).where("request_id = 2").count() == 12
+    with pytest.raises(Exception, match="k is above 9"):
+        rec.recommend(req.withColumn("k", F.lit(12)), longer, F.col("k")).collect()

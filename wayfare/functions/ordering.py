@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 CELLS = 1024
 
@@ -60,20 +60,19 @@ def order_statistics(df: DataFrame, value: Column, ranks: Callable[[int], Sequen
         found = {(s, k): _locate(cells, k, 0) for (s, _, _), cells in first.items()
                  for k in set(ranks(size[s])) if 1 <= k <= size[s]}
     kept, passes = None, 0
-    while True:
-        ranges = sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str)
-        if not ranges:
-            break
-        inside = _inside(rows if kept is None else kept, ranges)
-        if kept is None and (span is not None or passes):  # later passes read only the chosen cells
-            kept = inside.select("s", "v").persist(StorageLevel.DISK_ONLY)
-            inside = _inside(kept, ranges)
-        cells = _count_cells(inside)
-        found = {(s, k): (lo, hi, below) if lo == hi else _locate(cells[(s, lo, hi)], k, below)
-                 for (s, k), (lo, hi, below) in found.items()}
-        passes += 1
-    if kept is not None:
-        kept.unpersist()
+    try:
+        while ranges := sorted({(s, lo, hi) for (s, _), (lo, hi, _) in found.items() if lo != hi}, key=str):
+            inside = _inside(rows if kept is None else kept, ranges)
+            if kept is None and (span is not None or passes):  # later passes read only the chosen cells
+                kept = inside.select("s", "v").persist(StorageLevel.DISK_ONLY)
+                inside = _inside(kept, ranges)
+            cells = _count_cells(inside)
+            found = {(s, k): (lo, hi, below) if lo == hi else _locate(cells[(s, lo, hi)], k, below)
+                     for (s, k), (lo, hi, below) in found.items()}
+            passes += 1
+    finally:
+        if kept is not None:
+            kept.unpersist()
     return [Ranked(s, size[s], k, lo) for (s, k), (lo, _, _) in found.items()]
 
 
@@ -85,10 +84,24 @@ def _inside(rows: DataFrame, ranges: list[tuple]) -> DataFrame:
     return rows.join(F.broadcast(table), "s").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
 
 
+def _cell(floating: bool) -> Column:
+    """The cell of a row. The ends of a range always fall into different cells, so every pass shrinks it.
+
+    Halves keep the width of a floating range finite; where an end is infinite, the finite values between
+    share one cell, and the next pass has finite ends.
+    """
+    v, lo, hi = (F.col(c) / 2 if floating else F.col(c) for c in ("v", "lo", "hi"))
+    cell = F.least(F.floor((v - lo).cast("double") / (hi - lo).cast("double") * CELLS), F.lit(CELLS - 1))
+    if not floating:
+        return cell
+    endless = (F.abs("lo") == float("inf")) | (F.abs("hi") == float("inf"))
+    between = F.when(F.col("v") == F.col("lo"), 0).when(F.col("v") == F.col("hi"), CELLS - 1).otherwise(CELLS // 2)
+    return F.when(endless, between.cast("long")).otherwise(cell)
+
+
 def _count_cells(inside: DataFrame) -> dict:
     """{range: [(rows, least, greatest), ...] in cell order}."""
-    part = (F.col("v") - F.col("lo")).cast("double") / (F.col("hi") - F.col("lo")).cast("double")
-    cell = F.least(F.floor(part * CELLS), F.lit(CELLS - 1))
+    cell = _cell(isinstance(inside.schema["v"].dataType, (T.DoubleType, T.FloatType)))
     counts = inside.groupBy("s", "lo", "hi", cell.alias("c")).agg(
         F.count("*").alias("w"), F.min("v").alias("least"), F.max("v").alias("greatest"))
     out: dict = {}
@@ -121,7 +134,9 @@ def quantiles(df: DataFrame, value: Column, probs: Sequence[float], stratum: Col
     for s, n in {(f.stratum, f.n) for f in found}:
         for p in probs:
             low, high, part = spots(n, p)
-            out.append((s, p, at[(s, low)] + (at[(s, high)] - at[(s, low)]) * part))
+            a, b = at[(s, low)], at[(s, high)]
+            out.append((s, p, a if a == b or not part else a * (1 - part) + b * part if abs(b - a) == float("inf")
+                        else a + (b - a) * part))
     return out
 
 

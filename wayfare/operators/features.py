@@ -90,7 +90,9 @@ def label_features(users_features: DataFrame, behaviour: DataFrame) -> DataFrame
 
 
 def user_hotel_interactions(hotels: DataFrame) -> DataFrame:
-    return (hotels.groupBy(F.col("userCode").alias("user"), F.col("name").alias("hotel"))
+    """Bookings, nights, spend and last stay per (user, hotel); stays without a user or a name are left out."""
+    return (hotels.where(F.col("userCode").isNotNull() & F.col("name").isNotNull())
+            .groupBy(F.col("userCode").alias("user"), F.col("name").alias("hotel"))
             .agg(F.count("*").alias("bookings"), F.sum("days").alias("nights"),
                  F.sum("total").alias("spend"), F.max("date").alias("last_stay")))
 

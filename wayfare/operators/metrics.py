@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -121,26 +124,40 @@ def permutation_p(scores: DataFrame, actual: Column | float) -> DataFrame:
         half_up(F.col("p_value"), 4).alias("p_value"), (F.col("p_value") < 0.05).alias("significant_at_0_05"))
 
 
+def binomial_draws(n: int, p: float, u: np.ndarray) -> np.ndarray:
+    """The smallest k with P(X <= k) >= u, for X from Binomial(n, p): exact draws by inversion.
+
+    Probabilities are taken within ten deviations of the mode; what lies beyond has less weight than the
+    last bit of a double. They follow from each other by ratio, so the work grows with the square root of n.
+    """
+    if n <= 0 or p <= 0 or p >= 1:
+        return np.full(len(u), n if n > 0 and p >= 1 else 0)
+    reach = int(10 * math.sqrt(n * p * (1 - p))) + 30
+    mode = min(n, int((n + 1) * p))
+    k = np.arange(max(0, mode - reach), min(n, mode + reach) + 1, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log((n - k[:-1]) / (k[:-1] + 1)) + math.log(p) - math.log1p(-p))])
+    below = np.cumsum(np.exp(logs - logs.max()))
+    return (k[0] + np.minimum(np.searchsorted(below, u * below[-1]), len(k) - 1)).astype(np.int64)
+
+
 def bootstrap_interval(rates: DataFrame, key: str, rate: str, n: str, n_boot: int, seed: int = 42) -> DataFrame:
     """Percentile interval of a hit rate from `n_boot` parametric draws of Binomial(n, rate).
 
-    The draws are spread over (strategy, draw) rows. For n above 100 a draw is the normal limit
-    of the binomial, rounded to a whole count; below that it counts n uniform numbers. Both come
-    from a seeded hash, so a lost task redraws the same numbers.
+    The uniform numbers come from a seeded hash, so a lost task redraws the same ones. A strategy is one
+    task of `n_boot` rows, whatever n is.
     """
-    draws = rates.select(key, F.col(rate).alias("p"), F.col(n).cast("long").alias("n"),
+    draws = rates.select(key, F.col(rate).cast("double").alias("p"), F.col(n).cast("long").alias("n"),
                          F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("draw"))
-    uniform = lambda *parts: (hash_order(*parts, seed=seed).cast("double") + 0.5) / float(1 << 60)
-    u1, u2 = uniform(F.col(key), F.col("draw"), F.lit("a")), uniform(F.col(key), F.col("draw"), F.lit("b"))
-    normal = F.sqrt(-2 * F.log(u1)) * F.cos(2 * F.pi() * u2)
-    sd = F.sqrt(F.col("n") * F.col("p") * (1 - F.col("p")))
-    large = F.least(F.col("n").cast("double"), F.greatest(F.lit(0.0), F.round(F.col("n") * F.col("p") + sd * normal)))
-    trial = F.transform(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(100)).cast("int")),
-                        lambda i: (uniform(F.col(key), F.col("draw"), i) < F.col("p")).cast("double"))
-    small = F.aggregate(trial, F.lit(0.0), lambda acc, x: acc + x)
-    hits = F.when(F.col("n") > 100, large).otherwise(small)
+    u = (hash_order(F.col(key), F.col("draw"), seed=seed).cast("double") + 0.5) / float(1 << 60)
+
+    def drawn(rows: pd.DataFrame) -> pd.DataFrame:
+        size, p = int(rows["n"].iloc[0]), float(rows["p"].iloc[0])
+        return rows.assign(hits=binomial_draws(size, p, rows["u"].to_numpy()))
+
+    key_type = rates.schema[key].dataType.simpleString()
+    hits = draws.withColumn("u", u).groupBy(key).applyInPandas(drawn, f"`{key}` {key_type}, p double, n long, draw int, u double, hits long")
     # n_boot draws per strategy: a bounded group, so the plain percentile is fine here
-    return draws.withColumn("r", hits / F.col("n")).groupBy(key).agg(
+    return hits.withColumn("r", ratio(F.col("hits"), F.col("n"))).groupBy(key).agg(
         half_up(F.max("p"), 4).alias("hit_rate"), half_up(F.percentile("r", 0.025), 4).alias("ci_low"),
         half_up(F.percentile("r", 0.975), 4).alias("ci_high"), F.max("n").alias("n_users"))
 

@@ -13,10 +13,9 @@ from wayfare.functions.columns import half_up, ratio, unpivot
 from wayfare.operators.metrics import settle
 
 TOP_K = 3
-MAX_K = 9
+MAX_K = 9  # the most a served request may ask for
 SCORE_DIGITS = 9  # scores are compared after rounding, so equal affinities tie everywhere
-MAX_ITEMS = 4096
-SLICE_CELLS = 4_000_000  # users x items of one dense slice in a task
+PAIR_CELLS = 2_000_000  # item products that a task holds at a time
 
 
 def leave_one_out(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -43,80 +42,64 @@ def _top(pairs: DataFrame, k: int) -> Column:
     return best.select(F.transform("a", lambda s: s["hotel"])).scalar()
 
 
-def item_list(pairs: DataFrame) -> list[str]:
-    """All items in order. The list becomes the axes of a dense matrix, so its size is checked."""
-    rows = pairs.select("hotel").distinct().limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items: split the catalogue before comparing its items")
-    return sorted(r[0] for r in rows)
+def _vectors(history: DataFrame) -> DataFrame:
+    """One row per user: items and weights, at most one entry per item; a user's items are one row anyway
+    when the user is served."""
+    entry = F.struct("hotel", F.col("bookings").cast("double").alias("w"))
+    return (history.groupBy("user").agg(F.collect_list(entry).alias("e"))
+            .select(F.col("e.hotel").alias("hotel"), F.col("e.w").alias("w")))
 
 
-def _vectors(history: DataFrame, items: list[str]) -> DataFrame:
-    """One row per user: item positions and weights, at most one entry per item. The position
-    table holds at most MAX_ITEMS rows."""
-    spots = history.sparkSession.createDataFrame(list(zip(items, range(len(items)))), "hotel string, i int")
-    entry = F.struct("i", F.col("bookings").cast("double").alias("w"))
-    return (history.join(F.broadcast(spots), "hotel").groupBy("user").agg(F.collect_list(entry).alias("e"))
-            .select(F.col("e.i").alias("i"), F.col("e.w").alias("w")))
+def item_dots(history: DataFrame) -> DataFrame:
+    """Dot products of the item columns of the user x item matrix: (a, b, dot) where two items share a user.
 
-
-def item_dots(history: DataFrame, items: list[str]) -> DataFrame:
-    """Dot products of the item columns of the user x item matrix: (a, b, dot).
-
-    Each task adds its users' outer products into one items x items matrix and emits that once,
-    so no pair of a user's items is ever a row; the tasks' matrices are then summed by key.
+    Each task adds the products of its users' items up by item pair, PAIR_CELLS products at a time, before
+    anything is shuffled; the partial sums of the tasks are then added by pair. Only pairs that occur exist.
     """
-    n = len(items)
-    step = max(1, SLICE_CELLS // max(n, 1))
+
+    def sums(a: np.ndarray, b: np.ndarray, dot: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code, where = np.unique(a * n + b, return_inverse=True)
+        return code // n, code % n, np.bincount(where, weights=dot, minlength=len(code))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n, n))
         for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start:start + step]
-                block = np.zeros((len(part), n))
-                row = np.repeat(np.arange(len(part)), part["i"].map(len))
-                block[row, np.concatenate(part["i"].to_numpy())] = np.concatenate(part["w"].to_numpy())
-                total += block.T @ block
-        a, b = np.nonzero(total)
-        yield pd.DataFrame({"a": a, "b": b, "dot": total[a, b]})
-
-    names = F.array(*[F.lit(i) for i in items])
-    sums = (_vectors(history, items).mapInPandas(partial, "a long, b long, dot double")
+            size = batch["hotel"].map(len).to_numpy()
+            if not size.sum():
+                continue
+            item, names = pd.factorize(np.concatenate(batch["hotel"].to_numpy()))
+            weight = np.concatenate(batch["w"].to_numpy())
+            # one entry of a user against all entries of the same user
+            first = np.repeat(np.cumsum(size) - size, size)
+            width = np.repeat(size, size)
+            cuts = np.searchsorted(np.cumsum(width), np.arange(PAIR_CELLS, width.sum() + PAIR_CELLS, PAIR_CELLS)) + 1
+            for lo, hi in zip([0, *cuts[:-1]], cuts):
+                w, f = width[lo:hi], first[lo:hi]
+                left = np.repeat(np.arange(lo, lo + len(w)), w)
+                right = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(f, w)
+                a, b, dot = sums(item[left], item[right], weight[left] * weight[right], len(names))
+                yield pd.DataFrame({"a": names[a], "b": names[b], "dot": dot})
+
+    return (_vectors(history).mapInPandas(partial, "a string, b string, dot double")
             .groupBy("a", "b").agg(F.sum("dot").alias("dot")))
-    return sums.select(F.get(names, F.col("a").cast("int")).alias("a"),
-                       F.get(names, F.col("b").cast("int")).alias("b"), "dot")
 
 
-def item_similarity(history: DataFrame, items: list[str] | None = None) -> DataFrame:
-    """Cosine between items over the booking matrix, without the diagonal: (a, b, sim)."""
-    items = item_list(history) if items is None else items
-    dots = item_dots(history, items)
+def item_similarity(history: DataFrame) -> DataFrame:
+    """Cosine between items that share a user, over the booking matrix, without the diagonal: (a, b, sim)."""
     weight = F.col("bookings").cast("double")
     norm = history.groupBy("hotel").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
     left, right = (norm.withColumnsRenamed({"hotel": side, "norm": f"n{side}"}) for side in ("a", "b"))
     guard = lambda c: F.when(F.col(c) == 0, 1e-9).otherwise(F.col(c))
-    return (dots.where(F.col("a") != F.col("b")).join(left, "a").join(right, "b")
+    return (item_dots(history).where(F.col("a") != F.col("b")).join(left, "a").join(right, "b")
             .select("a", "b", (F.col("dot") / (guard("na") * guard("nb"))).alias("sim")))
 
 
-def dense_similarity(sim: DataFrame, items: list[str]) -> DataFrame:
-    """Every (a, b) of the item grid, zero where the items share no user. At most MAX_ITEMS ** 2
-    rows, grown from the similarity table's own items by an explode of the item list."""
-    grid = (sim.sparkSession.createDataFrame([(i,) for i in items], "a string")
-            .select("a", F.explode(F.array(*[F.lit(i) for i in items])).alias("b")))
-    return grid.join(sim, ["a", "b"], "left").select("a", "b", F.coalesce("sim", F.lit(0.0)).alias("sim"))
-
-
-def item_scores(history: DataFrame, sim: DataFrame, items: list[str]) -> DataFrame:
-    """User x item affinity: the user's weights times the similarities. Items already booked
-    stay in, and so do items of affinity zero.
-
-    AQE broadcasts the similarity grid when it is small; a hot item is split otherwise.
-    """
-    return (history.select("user", F.col("hotel").alias("a"), "bookings").join(dense_similarity(sim, items), "a")
-            .groupBy("user", F.col("b").alias("hotel"))
-            .agg(F.round(F.sum(F.col("bookings") * F.col("sim")), SCORE_DIGITS).alias("score")))
+def item_scores(history: DataFrame, sim: DataFrame) -> DataFrame:
+    """User x item affinity where it is not zero: the user's weights times the similarities. Items already
+    booked stay in. Partial sums run before the shuffle by (user, item), and AQE splits a hot item."""
+    scores = (history.select("user", F.col("hotel").alias("a"), "bookings").join(sim, "a")
+              .groupBy("user", F.col("b").alias("hotel"))
+              .agg(F.round(F.sum(F.col("bookings") * F.col("sim")), SCORE_DIGITS).alias("score")))
+    return scores.where("score <> 0")
 
 
 def top_k_per_user(scores: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -125,6 +108,23 @@ def top_k_per_user(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def ranked_items(history: DataFrame, items: DataFrame, k: int = TOP_K) -> DataFrame:
+    """(user, hotel, score, rank): the k best items of every user of the history, out of `items`.
+
+    A user with fewer than k scored items is filled up with items of score zero in name order. Those are
+    among the first 2k names, as fewer than k names are taken, so one short array serves all users.
+    """
+    best = top_k_per_user(item_scores(history, item_similarity(history)), k)
+    lists = best.groupBy("user").agg(F.array_sort(F.collect_list(F.struct("rank", "hotel", "score"))).alias("e"))
+    names = items.select("hotel").distinct().orderBy("hotel").limit(2 * k).agg(F.array_sort(F.collect_list("hotel")))
+    rows = history.select("user").distinct().join(lists, "user", "left").withColumn("_names", names.scalar())
+    empty = F.array().cast("array<struct<rank:int,hotel:string,score:double>>")
+    rows = rows.withColumn("e", F.coalesce("e", empty))
+    rest = F.transform(F.array_except("_names", F.col("e.hotel")),
+                       lambda h, i: F.struct((F.size("e") + i + 1).alias("rank"), h.alias("hotel"), F.lit(0.0).alias("score")))
+    return rows.select("user", F.inline(F.slice(F.concat("e", rest), 1, k))).select("user", "hotel", "score", "rank")
+
+
 def hotel_by_city(stays: DataFrame) -> DataFrame:
     """The most booked hotel of each city; equal counts go to the first name."""
     per = stays.groupBy("place", F.col("name").alias("hotel")).agg(F.count("*").alias("n"))
@@ -145,9 +145,7 @@ def evaluate_rankers(pairs: DataFrame, trips: DataFrame, city_hotel: DataFrame,
     """
     pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     history, held = leave_one_out(pairs)
-    items = item_list(pairs)
-    cf = top_k_per_user(item_scores(history, item_similarity(history, items), items), k)
-    cf = cf.select("user", "hotel", F.lit(True).alias("cf_hit"))
+    cf = ranked_items(history, history, k).select("user", "hotel", F.lit(True).alias("cf_hit"))
     guess = next_dest(trips, city_hotel).select("user", F.col("hotel").alias("guess"))
     judged = (held.join(cf, ["user", "hotel"], "left").join(guess, "user", "left")
               .withColumn("pop_hit", F.array_contains(_top(history, k), F.col("hotel"))))
@@ -168,14 +166,18 @@ def build_recommender(pairs: DataFrame, stays: DataFrame, catalog: DataFrame) ->
     return {"popularity": popularity(pairs), "hotel_by_city": hotel_by_city(stays), "catalog": catalog}
 
 
-def recommend(requests: DataFrame, artifact: dict[str, DataFrame], k: Column | int = TOP_K) -> DataFrame:
+def recommend(requests: DataFrame, artifact: dict[str, DataFrame], k: Column | int = TOP_K,
+              most: int = MAX_K) -> DataFrame:
     """Ranked hotels per request row: (request_id, rank, hotel, strategy).
 
     With a known destination its hotel comes first, then the popular ones without it; otherwise
-    the popular ones. The popular list is cut to MAX_K, the most a request may ask for.
+    the popular ones. A number k sets the length of the popular list; a column k may ask for `most` at
+    most, and a row that asks for more is an error.
     """
-    k = F.lit(k) if isinstance(k, int) else k
-    pop = _top(artifact["popularity"], MAX_K)
+    if isinstance(k, int):
+        most, k = k, F.lit(k)
+    k = F.when(k > most, F.raise_error(F.lit(f"k is above {most}")).cast("int")).otherwise(k)
+    pop = _top(artifact["popularity"], most)
     city = artifact["hotel_by_city"].select(F.col("place").alias("destination"), F.col("hotel").alias("first"))
     rows = requests.withColumn("_k", k.cast("int")).join(city, "destination", "left").withColumn("_pop", pop)
     rest = F.slice(F.filter("_pop", lambda h: h != F.col("first")), F.lit(1), F.col("_k") - 1)
@@ -192,6 +194,7 @@ def matrix_density(pairs: DataFrame) -> DataFrame:
         "density", ratio(F.col("n_pairs"), F.col("n_users") * F.col("n_hotels")))
 
 
-def interaction_matrix(pairs: DataFrame, items: list[str]) -> DataFrame:
-    """The user x item table with zeros, for display; the pairs themselves stay long."""
-    return pairs.groupBy("user").pivot("hotel", items).agg(F.sum("bookings")).na.fill(0)
+def interaction_matrix(pairs: DataFrame) -> DataFrame:
+    """The user x item table with zeros, for display; the pairs themselves stay long. The items are looked up
+    first, and Spark refuses more of them than spark.sql.pivotMaxValues."""
+    return pairs.groupBy("user").pivot("hotel").agg(F.sum("bookings")).na.fill(0)

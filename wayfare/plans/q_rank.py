@@ -22,10 +22,10 @@ dots AS (SELECT x.hotel AS a, y.hotel AS b, CAST(sum(x.bookings * y.bookings) AS
 sim AS (SELECT a, b, dot / (na.norm * nb.norm) AS sim FROM dots JOIN norms na ON na.hotel = a
         JOIN norms nb ON nb.hotel = b WHERE a <> b)"""
 
-SCORES = """grid AS (SELECT x.hotel AS a, y.hotel AS b FROM norms x, norms y),
-dense AS (SELECT g.a, g.b, coalesce(s.sim, 0) AS sim FROM grid g LEFT JOIN sim s ON g.a = s.a AND g.b = s.b),
-scores AS (SELECT h."user", d.b AS hotel, round(sum(h.bookings * d.sim), 9) AS score
-           FROM history h JOIN dense d ON h.hotel = d.a GROUP BY 1, 2),
+SCORES = """cells AS (SELECT h."user", s.b AS hotel, round(sum(h.bookings * s.sim), 9) AS score
+          FROM history h JOIN sim s ON h.hotel = s.a GROUP BY 1, 2 HAVING round(sum(h.bookings * s.sim), 9) <> 0),
+scores AS (SELECT u."user", n.hotel, coalesce(c.score, 0) AS score FROM (SELECT DISTINCT "user" FROM history) u
+           CROSS JOIN norms n LEFT JOIN cells c ON c."user" = u."user" AND c.hotel = n.hotel),
 top_cf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, hotel) AS rank
                           FROM scores) WHERE rank <= 3)"""
 
@@ -52,18 +52,16 @@ def item_similarity(spark, sf):
     return plain(rec.item_similarity(history), sim=9)
 
 
-@query("item_cf_scores", with_(HOTELS, PAIRS, HELD, SIM, SCORES) + """SELECT "user", hotel, score FROM scores""")
+@query("item_cf_scores", with_(HOTELS, PAIRS, HELD, SIM, SCORES) + """SELECT "user", hotel, score FROM cells""")
 def item_cf_scores(spark, sf):
     history, _ = rec.leave_one_out(Frames(spark, sf).pairs)
-    items = rec.item_list(history)
-    return rec.item_scores(history, rec.item_similarity(history, items), items)
+    return rec.item_scores(history, rec.item_similarity(history))
 
 
 @query("item_cf_top_k", with_(HOTELS, PAIRS, HELD, SIM, SCORES) + 'SELECT "user", hotel, score, rank FROM top_cf')
 def item_cf_top_k(spark, sf):
     history, _ = rec.leave_one_out(Frames(spark, sf).pairs)
-    items = rec.item_list(history)
-    return plain(rec.top_k_per_user(rec.item_scores(history, rec.item_similarity(history, items), items)))
+    return plain(rec.ranked_items(history, history))
 
 
 NEXT = """next_dest AS (
@@ -102,12 +100,14 @@ def _uniform(*parts: str) -> str:
     return f"((CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT) + 0.5::DOUBLE) / 1152921504606846976.0::DOUBLE)"
 
 
-@query("bootstrap_ci", with_(*T_EVAL) + f""", draws AS (
-  SELECT strategy, hit_rate AS p, n_users AS n, unnest(range(1, 501)) AS draw FROM ranker_eval),
+@query("bootstrap_ci", with_(*T_EVAL) + f""", ranker_eval_p AS (SELECT strategy, hit_rate AS p, n_users AS n FROM ranker_eval),
+draws AS (SELECT strategy, p, n, unnest(range(1, 501)) AS draw FROM ranker_eval_p),
+space AS (SELECT strategy, p, n, unnest(range(0, n + 1)) AS k FROM ranker_eval_p),
+below AS (SELECT strategy, sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(greatest(p, 1e-300))
+                                   + (n - k) * ln(greatest(1 - p, 1e-300)))) OVER (PARTITION BY strategy ORDER BY k) AS cdf FROM space),
 rates AS (
-  SELECT strategy, p, n, least(n, greatest(0.0, round(n * p + sqrt(n * p * (1 - p))
-    * sqrt(-2 * ln({_uniform('strategy', 'draw', "'a'")})) * cos(2 * pi() * {_uniform('strategy', 'draw', "'b'")}))))
-    / n AS rate FROM draws)
+  SELECT d.strategy, d.p, d.n, (SELECT count(*) FROM below b WHERE b.strategy = d.strategy
+    AND b.cdf < {_uniform('d.strategy', 'd.draw')}) / d.n AS rate FROM draws d)
 SELECT strategy, {r('max(p)', 4)} AS hit_rate, {r('quantile_cont(rate, 0.025)', 4)} AS ci_low,
        {r('quantile_cont(rate, 0.975)', 4)} AS ci_high, max(n) AS n_users,
        {r('3.0 / (SELECT count(DISTINCT hotel) FROM pairs)', 4)} AS random_baseline
@@ -128,14 +128,11 @@ def matrix_density(spark, sf):
     return rec.matrix_density(Frames(spark, sf).pairs)
 
 
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-
-
-@query("interaction_matrix", with_(HOTELS, PAIRS) + 'SELECT "user", ' + ", ".join(
-    f"""CAST(coalesce(sum(bookings) FILTER (WHERE hotel = '{b}'), 0) AS BIGINT) AS "{b}" """ for b in BRANDS)
-       + ' FROM pairs GROUP BY 1')
+@query("interaction_matrix", with_(HOTELS, PAIRS) + """
+SELECT * FROM (
+  PIVOT (SELECT "user", hotel, bookings FROM pairs) ON hotel USING CAST(coalesce(sum(bookings), 0) AS BIGINT) GROUP BY "user")""")
 def interaction_matrix(spark, sf):
-    return rec.interaction_matrix(Frames(spark, sf).pairs, BRANDS)
+    return rec.interaction_matrix(Frames(spark, sf).pairs)
 
 
 # ---- scoring -----------------------------------------------------------------------------
