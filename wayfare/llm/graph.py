@@ -21,30 +21,28 @@ def _least_neighbour(edges: DataFrame) -> DataFrame:
     return edges.join(least, F.col("a") == F.col("c")).select("a", "b", "m")
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 31))).head()
-    return row[0], row[1] or 0
+def _is_final(edges: DataFrame) -> bool:
+    """Whether every node has one root and no root has a root itself."""
+    seen = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")) \
+        .unionAll(edges.select("b", F.lit(0), F.lit(1)))
+    seen = seen.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.where("out > 1 or (out = 1 and into = 1)").isEmpty()
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """node and root, the smallest node reachable from it, for every node of an edge (a, b) of longs.
 
-    The number of rounds grows with the logarithm of the longest path; every round is a join and two
+    The number of rounds grows with the logarithm of the longest path; every round is two joins and two
     aggregates over the edges, which never become more.
     """
     edges = keep(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .distinct(), "edges")
-    state = _state(edges)
-    while True:
+    while not _is_final(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _least_neighbour(both).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
-        near = _least_neighbour(large)
+        near = _least_neighbour(large.distinct())
         small = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .unionByName(near.select("a", F.col("m").alias("b"))).distinct()
         edges = keep(spark, small, "edges")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

@@ -10,12 +10,13 @@ segment there.
 2. The rest is ordered by (number of classes, hash). Two classes can only link if they share an n-gram
    among the first n - ceil(0.75 n) + 1 of both. For each such n-gram its holders are compared with one
    of them, the pivot, not with each other.
-3. Overlaps are counted separately in each fragment of the order and summed per pair; pairs with
-   100 * overlap >= 75 * union are links.
-4. Components of these links are found. Where an n-gram of step 2 still joins several components, all
-   pairs of holders from different components with fitting sizes are compared as in step 3, and the
-   components are found again. So no link between different components is lost, while copies and near
-   copies of one text cost one comparison each.
+3. Overlaps are counted separately in each of `FRAGMENTS` fragments of the hash order and summed per pair;
+   pairs with 100 * overlap >= 75 * union are links.
+4. Components of these links are found. Where an n-gram of step 2 still joins several components, steps 2
+   and 3 go on with other pivots while that pays. Then all pairs of holders from different components are
+   compared as in step 3, but for those that cannot link by their sizes, by the place of the n-gram in
+   both orders or by the number of bits in which bitmaps of the sets differ, which are exact bounds. So no
+   link between different components is lost, while copies of one text cost a few comparisons each.
 
 Edge cases: ASCII letters are lower-cased; a text with one to four words is one n-gram, the whole
 sequence; a null, empty or blank text has an empty set and links with nothing; repeated rows are copies;
@@ -37,6 +38,10 @@ from wayfare.llm.words import U64, Words, mix, ragged, slices, windows
 N_GRAM = 5
 PERCENT = 75
 FRAGMENTS = 4
+BITS = 512
+#: When pivots give way to all remaining pairs: few of these per row, or few new links for so many rows. Either
+#: way every link is found; the numbers only share the work between the two.
+PIVOTS, PAIRS_PER_ROW, ROWS_PER_LINK = 4, 8, 100
 FLUSH = 1 << 21
 COUNT_TOP = np.iinfo(np.uint16).max
 
@@ -195,9 +200,9 @@ def _shared(segments: DataFrame, parts: int) -> DataFrame:
 
 
 def _survivors(shared: DataFrame, parts: int) -> DataFrame:
-    """name, n, first (n-grams to be looked up) and the shared n-grams in global order, of each class that
-    shares 75 % of its n-grams or more."""
-    schema = "name long, n int, first int, grams binary"
+    """name, n, number of shared n-grams, first (n-grams to be looked up), the shared n-grams in global order
+    and a bitmap of them, of each class that shares 75 % of its n-grams or more."""
+    schema = "name long, n int, shared int, first int, grams binary, bits array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = _gathered(batches, {"names": np.int64, "sizes": np.int32, "counts": np.uint32, "grams": U64, "dfs": np.uint16})
@@ -218,65 +223,97 @@ def _survivors(shared: DataFrame, parts: int) -> DataFrame:
         edge = np.searchsorted(entry, chosen)
         for a in range(0, len(chosen), 2000):
             rows = slice(a, a + 2000)
-            packed = [gram[i:i + t].tobytes() for i, t in zip(edge[rows].tolist(), total[chosen[rows]].tolist())]
+            size = total[chosen[rows]]
+            packed = [gram[i:i + t].tobytes() for i, t in zip(edge[rows].tolist(), size.tolist())]
+            bits = _bitmaps(gram[ragged(edge[rows], size)], size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name[chosen[rows]]), pa.array(n[chosen[rows]].astype(np.int32)),
-                 pa.array((total[chosen[rows]] - least[rows] + 1).astype(np.int32)), pa.array(packed, pa.binary())],
-                names=["name", "n", "first", "grams"])
+                [pa.array(name[chosen[rows]]), pa.array(n[chosen[rows]].astype(np.int32)), pa.array(size.astype(np.int32)),
+                 pa.array((size - least[rows] + 1).astype(np.int32)), pa.array(packed, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits.ravel()))],
+                names=["name", "n", "shared", "first", "grams", "bits"])
 
     return shared.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
 
+def _bitmaps(gram: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(sets, BITS / 64) parity bitmaps: each n-gram flips one bit, so two bitmaps differ in no more bits than
+    the sets differ in n-grams."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bit = (mix(gram + U64(0xA5A5A5A5)) >> U64(64 - (BITS - 1).bit_length())).astype(np.int64)
+    odd = np.bincount(owner * BITS + bit, minlength=len(sizes) * BITS).reshape(len(sizes), BITS) % 2
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
 def _posts(survivors: DataFrame) -> DataFrame:
-    """gram, name and n for the n-grams that a class is looked up by."""
+    """gram, name, n, left (shared n-grams from this one on) for the n-grams that a class is looked up by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first = batch.column(2).to_numpy()
-            grams = [np.frombuffer(g, np.int64)[:k] for g, k in zip(batch.column(3).to_pylist(), first.tolist())]
-            owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+            shared, first = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            grams = [np.frombuffer(g, np.int64)[:k] for g, k in zip(batch.column(4).to_pylist(), first.tolist())]
+            size = np.array([len(g) for g in grams], np.int64)
+            owner = np.repeat(np.arange(len(grams)), size)
+            left = shared[owner] - ragged(np.zeros(len(size), np.int64), size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([*grams, np.zeros(0, np.int64)])), batch.column(0).take(pa.array(owner)),
-                 batch.column(1).take(pa.array(owner))], names=["gram", "name", "n"])
+                 batch.column(1).take(pa.array(owner)), batch.column(2).take(pa.array(owner)), pa.array(left.astype(np.int32))],
+                names=["gram", "name", "n", "shared", "left"])
 
-    return survivors.mapInArrow(run, "gram long, name long, n int")
+    return survivors.select("name", "n", "shared", "first", "grams").mapInArrow(
+        run, "gram long, name long, n int, shared int, left int")
 
 
 def _fragments(survivors: DataFrame) -> DataFrame:
-    """name, fragment and the n-grams of the class in that fragment of the order."""
+    """name and its n-grams in each fragment of the order, as an array of `FRAGMENTS` arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.frombuffer(g, U64) for g in batch.column(3).to_pylist()]
+            lists = [np.frombuffer(g, U64) for g in batch.column(1).to_pylist()]
             gram = np.concatenate([*lists, np.zeros(0, U64)])
             owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            fragment = ((gram >> U64(32)) * U64(FRAGMENTS) >> U64(32)).astype(np.int64)
-            cell = owner * FRAGMENTS + fragment
+            cell = owner * FRAGMENTS + ((gram >> U64(32)) * U64(FRAGMENTS) >> U64(32)).astype(np.int64)
             order = np.argsort(cell, kind="stable")
-            used, head = np.unique(cell[order], return_index=True)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(gram)).astype(np.int32)),
-                                             pa.array(gram[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(used // FRAGMENTS)), pa.array((used % FRAGMENTS).astype(np.int32)), lists],
-                names=["name", "fragment", "grams"])
+            edge = np.searchsorted(cell[order], np.arange(len(lists) * FRAGMENTS + 1))
+            inner = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(gram[order].view(np.int64)))
+            outer = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * FRAGMENTS), inner)
+            yield pa.RecordBatch.from_arrays([batch.column(0), outer], names=["name", "grams"])
+
+    return survivors.select("name", "grams").mapInArrow(run, "name long, grams array<array<long>>")
 
-    return survivors.mapInArrow(run, "name long, fragment int, grams array<long>")
 
+def _fit(na: str, nb: str, sa: str, sb: str) -> str:
+    """Whether sets of these sizes, with these many n-grams that they could have in common, can link."""
+    return f"100 * least({na}, {nb}) >= {PERCENT} * greatest({na}, {nb}) and " \
+           f"{100 + PERCENT} * least({sa}, {sb}) >= {PERCENT} * ({na} + {nb})"
 
-def _fit(a: str, b: str) -> str:
-    """Set sizes that allow a link."""
-    return f"100 * least({a}, {b}) >= {PERCENT} * greatest({a}, {b})"
+
+def _close(na: str, nb: str, sa: str, sb: str, a: str, b: str) -> str:
+    """Whether the n-grams that are not shared and the bitmaps a and b of those that are leave a link possible:
+    (100 - P) / (100 + P) of all n-grams may differ."""
+    differ = " + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(BITS // 64))
+    return f"{100 + PERCENT} * ({na} - {sa} + {nb} - {sb} + {differ}) <= {100 - PERCENT} * ({na} + {nb})"
 
 
 def _links(pairs: DataFrame, survivors: DataFrame) -> DataFrame:
     """The pairs (a, b, na, nb) that link: overlaps counted per fragment and summed."""
     cells = _fragments(survivors)
-    left = cells.select(F.col("name").alias("a"), "fragment", F.col("grams").alias("x"))
-    right = cells.select(F.col("name").alias("b"), "fragment", F.col("grams").alias("y"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]) \
-        .select("a", "b", "na", "nb", F.size(F.array_intersect("x", "y")).alias("overlap"))
-    total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
-    return total.where(f"100 * overlap >= {PERCENT} * (na + nb - overlap)").select("a", "b")
+    left = cells.select(F.col("name").alias("a"), F.col("grams").alias("x"))
+    right = cells.select(F.col("name").alias("b"), F.col("grams").alias("y"))
+    partial = [F.size(F.array_intersect(F.col("x")[f], F.col("y")[f])) for f in range(FRAGMENTS)]
+    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("overlap"))
+    return counted.where(f"100 * overlap >= {PERCENT} * (na + nb - overlap)").select("a", "b")
+
+
+def _stars(posts: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each class with the pivots of its n-grams, as far as sizes allow a link: one pivot at first,
+    which all n-grams choose alike, then `PIVOTS` of each n-gram's own."""
+    ranks = [F.struct("name")] if turn == 0 else \
+        [F.struct(F.xxhash64("name", "gram", F.lit(PIVOTS * turn + i)), "name") for i in range(PIVOTS)]
+    chosen = F.array(*[F.min_by(F.struct("name", "n", "shared", "root"), r) for r in ranks])
+    pivots = posts.groupBy("gram").agg(chosen.alias("p")).select("gram", F.explode(F.array_distinct("p")).alias("p")) \
+        .select("gram", F.col("p.name").alias("b"), F.col("p.n").alias("nb"), F.col("p.shared").alias("sb"), F.col("p.root").alias("rb"))
+    return posts.join(pivots, "gram").where("root <> rb").where(_fit("n", "nb", "shared", "sb")) \
+        .select(F.col("name").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
 
 
 def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -284,28 +321,43 @@ def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "tex
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     survivors = keep(spark, _survivors(_shared(_segments(docs, text_column, parts), parts), parts), "sets")
     posts = _posts(survivors)
-    pivots = posts.groupBy("gram").agg(F.min(F.struct("name", "n")).alias("p"), F.count("*").alias("c")) \
-        .where("c > 1").select("gram", F.col("p.name").alias("b"), F.col("p.n").alias("nb"))
-    stars = posts.join(pivots, "gram").where("name <> b").where(_fit("n", "nb")) \
-        .select(F.col("name").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
-    stars = keep(spark, stars, "pairs")
-    links = keep(spark, _links(stars, survivors), "links")
-    roots = components(spark, links)
-
-    seen = posts.join(roots.withColumnRenamed("node", "name"), "name", "left") \
-        .select("gram", "name", "n", F.coalesce("root", "name").alias("root"))
-    split = seen.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
-    open_ = seen.join(split, "gram")
-    one = open_.select("gram", F.col("name").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = open_.select("gram", F.col("name").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    rest = one.join(two, "gram").where("ra > rb").where(_fit("na", "nb")).select("a", "b", "na", "nb").distinct()
-    rest = rest.join(stars.select("a", "b"), ["a", "b"], "left_anti") \
-        .join(stars.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-    rest = keep(spark, rest, "pairs")
-    if rest.isEmpty():
-        return roots
-    more = keep(spark, _links(rest, survivors), "links")
-    return roots if more.isEmpty() else components(spark, links.unionByName(more))
+    lists = posts.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    posts = keep(spark, posts.join(lists, "gram"), "posts")
+    open_, roots, links, turn = posts.withColumn("root", F.col("name")), None, None, 0
+    none = spark.createDataFrame([], "node long, root long")
+    while True:
+        new = keep(spark, _links(_stars(open_, turn), survivors), "links")
+        found = new.count()
+        if found:
+            links = new if links is None else links.unionByName(new)
+            roots = components(spark, links)
+            labelled = posts.join(roots.withColumnRenamed("node", "name"), "name", "left") \
+                .withColumn("root", F.coalesce("root", "name"))
+        else:
+            labelled = open_
+        split = labelled.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        open_ = keep(spark, labelled.join(split.select("gram"), "gram"), "open")
+        rows, pairs = open_.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram") \
+            .agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("squares")) \
+            .agg(F.sum("n"), F.sum(F.expr("(n * n - squares) / 2"))).head()
+        turn += 1
+        if not rows:
+            return none if roots is None else roots
+        if pairs <= PAIRS_PER_ROW * rows or ROWS_PER_LINK * found < rows:
+            break
+    more = keep(spark, _links(_rest(open_, survivors), survivors), "links")
+    if more.isEmpty():
+        return none if roots is None else roots
+    return components(spark, more if links is None else links.unionByName(more))
+
+
+def _rest(open_: DataFrame, survivors: DataFrame) -> DataFrame:
+    """All pairs of holders of one n-gram from different components that sizes, positions and bitmaps leave."""
+    open_ = open_.join(survivors.select("name", "bits"), "name")
+    one, two = (open_.select("gram", *(F.col(c).alias(c + x) for c in ("name", "n", "shared", "left", "root", "bits"))) for x in "12")
+    return one.join(two, "gram").where("root1 > root2").where(_fit("n1", "n2", "left1", "left2")) \
+        .where(_close("n1", "n2", "shared1", "shared2", "bits1", "bits2")) \
+        .select(F.col("name1").alias("a"), F.col("name2").alias("b"), F.col("n1").alias("na"), F.col("n2").alias("nb")).distinct()
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
