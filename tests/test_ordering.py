@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import ordering
 from wayfare.operators import folds, metrics
+from wayfare.operators.explore import histogram
 
 
 def frame(spark, seed, n=600):
@@ -34,6 +36,30 @@ def test_order_statistics_of_every_rank(spark):
     assert [r.v for r in sorted(got, key=lambda r: r.k)] == sorted(values)
 
 
+@pytest.mark.parametrize("values", [[1.0, 2.0, math.inf], [-math.inf, math.inf], [-math.inf, 1.0, 1.0, 5.0, math.inf, math.inf],
+                                    [-1e308, 0.0, 1e308, 5.0, 1e-308], [math.inf] * 3, [5e-324, 0.0, -5e-324]])
+def test_ranks_of_endless_and_huge_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = ordering.order_statistics(df, F.col("v"), lambda n: range(1, n + 1))
+    assert [r.v for r in sorted(got, key=lambda r: r.k)] == sorted(values)
+
+
+@pytest.mark.parametrize("n, p", [(7, 0.3), (100, 0.5), (101, 0.5), (5000, 0.02), (50, 0.0), (50, 1.0), (0, 0.5)])
+def test_binomial_draws_invert_the_distribution(n, p):
+    u = np.linspace(0.0005, 0.9995, 1000)
+    below = np.cumsum([math.comb(n, k) * p ** k * (1 - p) ** (n - k) if n < 1000 else math.exp(
+        math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
+        for k in range(n + 1)])
+    want = np.minimum(np.searchsorted(below, u * (1 - 1e-12)), n)
+    assert (metrics.binomial_draws(n, p, u) == want).mean() > 0.998
+
+
+def test_empty_bins_are_rows(spark):
+    df = spark.createDataFrame([(0.0,), (1.0,), (10.0,), (None,)], "v double")
+    got = [(r["bin"], r["n"]) for r in histogram(df, "v", 5).orderBy("bin").collect()]
+    assert got == [(0, 2), (1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def test_small_values_refuses_a_large_domain(spark):
     with pytest.raises(ValueError):
         ordering.small_values(spark.range(50), "id", limit=10)

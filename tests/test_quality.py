@@ -109,3 +109,7 @@ def test_csv_files(spark, raw, tmp_path):
     assert set(io.load_all_processed(spark, out)) >= {"trips", "hotel_catalog"}
     with pytest.raises(ValueError):
         io.load_interim(spark, out, "trips")
+    io.write_table(trips.limit(0), out, "trips")  # the same table as Parquet: which one is meant?
+    with pytest.raises(ValueError, match="name the format"):
+        io.load_processed(spark, out, "trips")
+    assert io.read_table(spark, out, "trips", fmt="csv").count() == 1

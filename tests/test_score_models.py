@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from wayfare.operators import metrics, models, recommend as rec, score, tune
@@ -163,3 +164,40 @@ def test_search(card, people):
     assert tune.candidates(tune.ATTACH_GRID, 0, 15) == tune.candidates(tune.ATTACH_GRID, 0, 15)
     got = tune.tune_labels(people, {"behaviour_logistic": {"C": [0.1, 1.0]}}, INPUTS, F.col("id"), k=2, fresh=(1,)).first()
     assert abs(got["verified"] - got["before"] - got["gain"]) < 2e-4
+
+
+@pytest.mark.parametrize("kind", ["ridge", "decision_tree", "gbt_rate_per_km"])
+def test_saved_price_models_score_alike_in_another_session(spark, card, kind, tmp_path):
+    fitted = models.fit_price(kind, card, **({"rounds": 3} if "gbt" in kind else {}))
+    path = models.save_model(spark, fitted, str(tmp_path / "model"))
+    other = spark.newSession()
+    loaded = models.load_model(other, path)
+    assert (loaded.name, loaded.per_unit, loaded.encoder.names) == (fitted.name, fitted.per_unit, fitted.encoder.names)
+    want = sorted(r["prediction"] for r in fitted.transform(card).collect())
+    card.write.parquet(str(tmp_path / "card"))
+    got = sorted(r["prediction"] for r in loaded.transform(other.read.parquet(str(tmp_path / "card"))).collect())
+    assert got == pytest.approx(want, rel=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["baseline_majority", "name_plus_behaviour", "behaviour_rf"])
+def test_saved_label_models_score_alike(spark, people, kind, tmp_path):
+    params = {"trees": 3, "max_depth": 4} if kind == "behaviour_rf" else {}
+    fitted = models.fit_label(kind, people, INPUTS, **params)
+    loaded = models.load_model(spark, models.save_model(spark, fitted, str(tmp_path / "model")))
+    pairs = fitted.transform(people).select("id", "p1").join(loaded.transform(people).select("id", F.col("p1").alias("p")), "id")
+    assert pairs.count() == 240 and pairs.where("abs(p1 - p) > 1e-12").count() == 0
+
+
+def test_imputed_labels_are_written(spark, people, tmp_path):
+    model = models.fit_label("name_logistic", people, INPUTS)
+    path = models.write_imputed(model, people.drop("label"), "id", ("low", "high"), str(tmp_path / "imputed"))
+    assert spark.read.parquet(path).where("confidence >= 0.5").count() == 240
+
+
+def test_saved_reference(spark, reference, tmp_path):
+    loaded = score.load_reference(spark, score.save_reference(reference, str(tmp_path / "reference")))
+    df = requests(spark, {}, {"from": "Atlantis"}, {"agency": "X"})
+    assert rows(score.validate_requests(df, loaded), "request_id", "distance", "error") == \
+        rows(score.validate_requests(df, reference), "request_id", "distance", "error")
+    plan = score.validate_requests(df, loaded)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in plan

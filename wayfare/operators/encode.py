@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizer, ElementwiseProduct, IDF, Normalizer, OneHotEncoder, StringIndexer, VectorAssembler)
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfare.functions.columns import ngrams_of_word, unpivot, words
 from wayfare.functions.ordering import quantiles
@@ -87,12 +88,14 @@ def fit_text(df: DataFrame, text: str, lo: int = 2, hi: int = 4, min_df: int = 2
     its size is checked; n-grams of up to four characters stay far below the limit."""
     grams = df.select(F.coalesce(text_grams(_bt(text), lo, hi), F.array().cast("array<string>")).alias("_grams"))
     grams.persist(StorageLevel.DISK_ONLY)  # three passes follow
-    counted = CountVectorizer(inputCol="_grams", outputCol="_tf", minDF=float(min_df),
-                              vocabSize=MAX_VOCABULARY).fit(grams)
-    if len(counted.vocabulary) >= MAX_VOCABULARY:
-        raise ValueError("n-gram vocabulary too large for a driver-held model")
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(grams)).idf.toArray() + 1.0
-    grams.unpersist()
+    try:
+        counted = CountVectorizer(inputCol="_grams", outputCol="_tf", minDF=float(min_df),
+                                  vocabSize=MAX_VOCABULARY).fit(grams)
+        if len(counted.vocabulary) >= MAX_VOCABULARY:
+            raise ValueError("n-gram vocabulary too large for a driver-held model")
+        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(grams)).idf.toArray() + 1.0
+    finally:
+        grams.unpersist()
     scaled = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="_tfidf")
     return PipelineModel([counted, scaled, Normalizer(inputCol="_tfidf", outputCol=out, p=2.0)])
 
@@ -150,10 +153,18 @@ def fit_encoder(df: DataFrame, cat: Sequence[str] = (), num: Sequence[str] = (),
     return Encoder(list(cat), stats, onehot, text, grams, texts, names + list(num))
 
 
-def pipeline_stages(cat: Sequence[str], num: Sequence[str]) -> Pipeline:
-    """The pass-through encoder as one saveable pipeline, for a served model."""
-    idx, hot = [f"_i_{c}" for c in cat], [f"_o_{c}" for c in cat]
-    return Pipeline(stages=[
-        StringIndexer(inputCols=list(cat), outputCols=idx, handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx, outputCols=hot, dropLast=True),
-        VectorAssembler(inputCols=[*hot, *num], outputCol="features", handleInvalid="keep")])
+def save_encoder(spark: SparkSession, encoder: Encoder, path: str) -> None:
+    """Write a fitted encoder: its numbers and names as one JSON row, its Spark ML stages beside it."""
+    plain = {"cat": encoder.cat, "stats": {c: list(v) for c, v in encoder.stats.items()}, "text": encoder.text,
+             "grams": list(encoder.grams), "names": encoder.names,
+             "stages": [n for n in ("onehot", "texts") if getattr(encoder, n) is not None]}
+    spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/plain")
+    for name in plain["stages"]:
+        getattr(encoder, name).write().overwrite().save(f"{path}/{name}")
+
+
+def load_encoder(spark: SparkSession, path: str) -> Encoder:
+    plain = json.loads(spark.read.text(f"{path}/plain").first()[0])
+    stages = {n: PipelineModel.load(f"{path}/{n}") for n in plain["stages"]}
+    return Encoder(plain["cat"], {c: tuple(v) for c, v in plain["stats"].items()}, stages.get("onehot"), plain["text"],
+                   tuple(plain["grams"]), stages.get("texts"), plain["names"])

@@ -155,7 +155,7 @@ def fare_stats_by_class(legs: DataFrame) -> DataFrame:
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence[str]) -> DataFrame:
-    """Counts of `row` x `col`; the column values are given, so no job has to find them."""
+    """Counts of `row` x `col`, one column for each of the given values."""
     return df.groupBy(_bt(row)).agg(*[F.count_if(_bt(col) == v).alias(str(v)) for v in values])
 
 
@@ -201,14 +201,17 @@ def value_shares(df: DataFrame, col: str) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins between the column's extremes; the last bin is closed on both sides."""
+    """Equal-width bins between the column's extremes; the last bin is closed on both sides, and a bin
+    without values is a row with n = 0."""
     ends = df.agg(F.struct(F.min(value).cast("double").alias("lo"), F.max(value).cast("double").alias("hi"))).scalar()
     lo, hi = ends["lo"], ends["hi"]
     width = F.when(hi > lo, (hi - lo) / bins).otherwise(F.lit(1.0))
     bin_no = F.least(F.floor((F.col(value).cast("double") - lo) / width), F.lit(bins - 1)).cast("int")
-    return (df.where(F.col(value).isNotNull()).groupBy(bin_no.alias("bin"))
-            .agg(F.count("*").alias("n"), F.min(value).cast("double").alias("min_value"),
-                 F.max(value).cast("double").alias("max_value")))
+    found = (df.where(F.col(value).isNotNull()).groupBy(bin_no.alias("bin"))
+             .agg(F.count("*").alias("n"), F.min(value).cast("double").alias("min_value"),
+                  F.max(value).cast("double").alias("max_value")))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(found, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"), "min_value", "max_value")
 
 
 def mean_by(df: DataFrame, key: str | Column, name: str, value: str) -> DataFrame:

@@ -83,9 +83,11 @@ def score_classification(pred: DataFrame, label: str = "label", prediction: str
 def settle(df: DataFrame, *kept: DataFrame) -> DataFrame:
     """A metric table, a few rows per model and fold, taken to the driver so that the frames kept
     for it can be released."""
-    rows = df.collect()
-    for frame in kept:
-        frame.unpersist()
+    try:
+        rows = df.collect()
+    finally:
+        for frame in kept:
+            frame.unpersist()
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 

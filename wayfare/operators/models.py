@@ -6,6 +6,7 @@ frame; predictions are columns.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -14,15 +15,19 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
+    RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import (
+    DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
+    LinearRegressionModel)
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfare import schemas as S
 from wayfare.functions.columns import half_up, ratio
 from wayfare.operators import folds, metrics
-from wayfare.operators.encode import Encoder, fit_encoder
+from wayfare.operators.encode import Encoder, fit_encoder, load_encoder, save_encoder
 
 BINS = 256
 ROWS_PER_TASK = 10_000
@@ -52,6 +57,29 @@ class Model:
 
 
 Fit = Callable[[DataFrame], Model]
+ESTIMATES = {c.__name__: c for c in (LinearRegressionModel, DecisionTreeRegressionModel, GBTRegressionModel,
+                                     LogisticRegressionModel, RandomForestClassificationModel, GBTClassificationModel)}
+
+
+def save_model(spark: SparkSession, model: Model, path: str) -> str:
+    """Write a fitted model with its encoder; `load_model` in another session scores alike."""
+    kind = None if model.fitted is None else type(model.fitted).__name__
+    plain = {"name": model.name, "kind": kind, "per_unit": model.per_unit, "constant": model.constant,
+             "encoder": model.encoder is not None}
+    spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
+    if model.encoder is not None:
+        save_encoder(spark, model.encoder, f"{path}/encoder")
+    if model.fitted is not None:
+        model.fitted.write().overwrite().save(f"{path}/fitted")
+    return path
+
+
+def load_model(spark: SparkSession, path: str) -> Model:
+    plain = json.loads(spark.read.text(f"{path}/model").first()[0])
+    encoder = load_encoder(spark, f"{path}/encoder") if plain["encoder"] else None
+    fitted = ESTIMATES[plain["kind"]].load(f"{path}/fitted") if plain["kind"] else None
+    constant = tuple(plain["constant"]) if plain["constant"] else None
+    return Model(plain["name"], encoder, fitted, plain["per_unit"], constant)
 
 
 @contextmanager
@@ -63,9 +91,11 @@ def encoded(encoder: Encoder, df: DataFrame, label: str = "label") -> Iterator[t
     """
     kept = (encoder.transform(df).select("features", F.col(label).cast("double").alias("label"))
             .persist(StorageLevel.MEMORY_AND_DISK))
-    n = kept.count()
-    yield kept.coalesce(tasks_for(n)), n
-    kept.unpersist()
+    try:
+        n = kept.count()
+        yield kept.coalesce(tasks_for(n)), n
+    finally:
+        kept.unpersist()
 
 
 def side_by_side(jobs: Sequence[Callable]) -> list:
@@ -148,6 +178,14 @@ def evaluate_price(legs: DataFrame, keys: Sequence, models: dict[str, dict] | No
     return scored.withColumn("selected", F.col("model") == best)
 
 
+def select_price(legs: DataFrame, keys: Sequence, models: dict[str, dict] | None = None,
+                 seed: int = 42) -> tuple[DataFrame, Model]:
+    """The comparison of all models, and the selected one fitted again on all legs."""
+    scored = evaluate_price(legs, keys, models, seed)
+    best = scored.where("selected").agg(F.min("model")).first()[0]
+    return scored, fit_price(best, legs, **(models or {}).get(best, {}))
+
+
 # ---- classification ----------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -181,10 +219,11 @@ def label_estimator(kind: str, n: int, **p):
                              maxDepth=p.get("max_depth", 5), minInstancesPerNode=p.get("min_leaf", 20),
                              maxBins=BINS, seed=42)
     # The penalty |w|^2 / 2 against C times the summed loss is 1 / (C n) against the mean loss.
-    # Spark scales every feature inside its solver, so thousands of rare n-grams converge slowly;
-    # the iteration limit is the platform's default and far enough for stable scores.
+    # The solver stops at its tolerance; thousands of rare n-grams converge slowly, so these models get
+    # the higher limit.
+    limit = 2000 if kind.startswith("name") else 1000
     return LogisticRegression(regParam=1.0 / (p.get("C", 1.0) * max(n, 1)), elasticNetParam=0.0,
-                              standardization=False, maxIter=p.get("max_iter", 100))
+                              standardization=False, maxIter=p.get("max_iter", limit))
 
 
 def fit_majority(train: DataFrame, label: str = "label") -> Model:
@@ -221,6 +260,12 @@ def impute_labels(model: Model, unlabelled: DataFrame, key: str, names: tuple[st
                       half_up(F.greatest(F.col("p1"), 1 - F.col("p1")), 4).alias("confidence"))
 
 
+def write_imputed(model: Model, unlabelled: DataFrame, key: str, names: tuple[str, str], path: str) -> str:
+    """Write the imputed labels as a table of their own; known labels are never overwritten."""
+    impute_labels(model, unlabelled, key, names).write.mode("overwrite").parquet(path)
+    return path
+
+
 def fit_attach(train: DataFrame, **params) -> Model:
     """Will a trip book a hotel: boosted trees on four categories and four numerics."""
     rows = train.withColumn("label", F.col("has_hotel").cast("int"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wayfare.functions.columns import first_word, half_up, ratio
 from wayfare.operators import recommend as rec
@@ -28,6 +28,31 @@ def reference_domains(legs: DataFrame, routes: DataFrame) -> dict[str, DataFrame
             "agencies": legs.select(F.col("agency").alias("value")).distinct()}
 
 
+BROADCAST_ROWS = 200_000  # about 20 MB of reference rows
+
+
+def save_reference(ref: dict[str, DataFrame], path: str) -> str:
+    """Write the reference as one table; the places of `hotel_by_city` and `hotels` are optional."""
+    reference_rows(ref).write.mode("overwrite").parquet(path)
+    return path
+
+
+def load_reference(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """A written reference. Its parts are counted once; up to BROADCAST_ROWS rows a part goes to every task of
+    a join, and a larger one is joined by key, so requests are shuffled only for the latter."""
+    rows = spark.read.parquet(path)
+    size = {r["kind"]: r["count"] for r in rows.groupBy("kind").count().collect()}
+
+    def part(kind: str, *columns: Column) -> DataFrame:
+        out = rows.where(F.col("kind") == kind).select(*columns)
+        return F.broadcast(out) if size.get(kind, 0) <= BROADCAST_ROWS else out
+
+    listed = {name: part(kind, F.col("key").alias("value"))
+              for name, kind in (("cities", "city"), ("flight_types", "flight_type"), ("agencies", "agency"), ("hotels", "hotel"))}
+    return {"routes": part("route", F.col("key").alias("from"), F.col("value").alias("to"), "distance"), **listed,
+            "hotel_by_city": part("hotel_by_city", F.col("key").alias("place"), F.col("value").alias("hotel"))}
+
+
 def reference_rows(ref: dict[str, DataFrame]) -> DataFrame:
     """The reference as one long table (kind, key, value, distance)."""
     none, far = F.lit(None).cast("string"), F.lit(None).cast("double")
@@ -38,13 +63,15 @@ def reference_rows(ref: dict[str, DataFrame]) -> DataFrame:
 
     routes = ref["routes"].select(F.lit("route").alias("kind"), F.col("from").alias("key"), F.col("to").alias("value"),
                                   F.col("distance"))
-    city = ref["hotel_by_city"].select(F.lit("hotel_by_city").alias("kind"), F.col("place").alias("key"),
-                                       F.col("hotel").alias("value"), far.alias("distance"))
     out = routes
     for kind, name in (("city", "cities"), ("flight_type", "flight_types"), ("agency", "agencies"),
                        ("hotel", "hotels")):
-        out = out.unionByName(listed(kind, name))
-    return out.unionByName(city)
+        if name in ref:
+            out = out.unionByName(listed(kind, name))
+    if "hotel_by_city" in ref:
+        out = out.unionByName(ref["hotel_by_city"].select(
+            F.lit("hotel_by_city").alias("kind"), F.col("place").alias("key"), F.col("hotel").alias("value"), far.alias("distance")))
+    return out
 
 
 def _missing(fields: Sequence[str]) -> Column:

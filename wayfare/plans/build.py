@@ -33,7 +33,7 @@ def write_tables(spark: SparkSession, raw: dict[str, DataFrame], folder: str, fm
     """Build and write every table. Later tables read the written earlier ones, so each
     shuffle runs once and a lost executor repeats at most one table."""
     def done(name: str) -> DataFrame:
-        return io.read_table(spark, folder, name)
+        return io.read_table(spark, folder, name, fmt=fmt)
 
     paths = [io.write_table(clean.clean_flights(raw["flights"]), folder, "flights_clean", fmt),
              io.write_table(clean.clean_hotels(raw["hotels"]), folder, "hotels_clean", fmt),

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfare.functions.ordering import small_values
 from wayfare.operators import clean, entities, features
 from wayfare.sources import domain
 
@@ -51,7 +52,16 @@ class Frames:
 
     @cached_property
     def behaviour(self) -> DataFrame:
-        return features.user_behaviour(self.trips, domain.CLASSES, domain.AGENCIES)
+        return features.user_behaviour(self.trips, self.classes, self.agencies)
+
+    @cached_property
+    def classes(self) -> list[str]:
+        """The flight classes that occur."""
+        return small_values(self.flights("flightType"), "flightType")
+
+    @cached_property
+    def agencies(self) -> list[str]:
+        return small_values(self.flights("agency"), "agency")
 
     @cached_property
     def labelled(self) -> DataFrame:

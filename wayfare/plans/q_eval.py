@@ -67,9 +67,10 @@ def residual_stats(spark, sf):
 
 @query("residual_histogram", with_(FLIGHTS, RATE) + f""", e AS (
   SELECT min(label - prediction) AS lo, max(label - prediction) AS hi FROM pred)
-SELECT CAST(least(floor((label - prediction - lo) / ((hi - lo) / 60)), 59) AS BIGINT) AS bin, count(*) AS n,
-       {r('min(label - prediction)', 4)} AS min_value, {r('max(label - prediction)', 4)} AS max_value
-FROM pred, e GROUP BY 1""")
+SELECT b.bin, count(v) AS n, {r('min(v)', 4)} AS min_value, {r('max(v)', 4)} AS max_value
+FROM (SELECT unnest(range(60)) AS bin) b LEFT JOIN (
+  SELECT label - prediction AS v, CAST(least(floor((label - prediction - lo) / ((hi - lo) / 60)), 59) AS BIGINT) AS bin
+  FROM pred, e) x ON b.bin = x.bin GROUP BY 1""")
 def residual_histogram(spark, sf):
     return plain(metrics.residual_histogram(_rate_predictions(Frames(spark, sf))), min_value=4, max_value=4)
 
@@ -325,14 +326,19 @@ def model_rate_per_km(spark, sf):
 
 @query("evaluate_price")
 def evaluate_price(spark, sf):
+    """The four families on both splits; the selected one is fitted again on all legs and saved."""
     plans = {"ridge": {}, "decision_tree": {}, "gbt": ROUNDS, "gbt_rate_per_km": ROUNDS}
     legs = _saved(spark, Frames(spark, sf).legs, "legs")
-    return models.evaluate_price(legs, _leg_keys(), plans)
+    scored, model = models.select_price(legs, _leg_keys(), plans)
+    models.save_model(spark, model, scratch_path(spark, "price-model"))
+    return scored
 
 
 # ---- label models over the text pool --------------------------------------------------------
 
 INPUTS = models.LabelInputs(["lang", "source"], ["n_chars"], "text")
+# The registered n-gram fits stop after 100 steps (a step is a Spark job); the library goes on to its tolerance.
+STEPS = {"max_iter": 100}
 NAMES = ("low", "high")
 
 
@@ -363,29 +369,31 @@ def model_gbt_classifier(spark, sf):
 
 @query("model_name_logistic")
 def model_name_logistic(spark, sf):
-    return _label_report(spark, sf, "name_logistic")
+    return _label_report(spark, sf, "name_logistic", **STEPS)
 
 
 @query("model_name_plus_behaviour")
 def model_name_plus_behaviour(spark, sf):
-    return _label_report(spark, sf, "name_plus_behaviour")
+    return _label_report(spark, sf, "name_plus_behaviour", **STEPS)
 
 
 @query("impute_labels")
 def impute_labels(spark, sf):
     """Labels of all unlabelled texts from a model of all labelled ones."""
     known, unknown = _pool(spark, sf)
-    model = models.fit_label("name_logistic", known, INPUTS)
-    return models.impute_labels(model, unknown, "doc_id", NAMES)
+    model = models.fit_label("name_logistic", known, INPUTS, **STEPS)
+    return spark.read.parquet(models.write_imputed(model, unknown, "doc_id", NAMES, scratch_path(spark, "imputed")))
 
 
 @query("score_gender")
 def score_gender(spark, sf):
     """Request rows (all texts, as names) to label and confidence; a blank one is an error."""
     known, _ = _pool(spark, sf)
-    model = models.fit_label("name_logistic", known, INPUTS)
+    first = score.name_inputs(known, "text")
+    model = models.fit_label("name_logistic", first, models.LabelInputs([], [], "first_name"), **STEPS)
+    saved = models.load_model(spark, models.save_model(spark, model, scratch_path(spark, "name-model")))
     rows = score.name_inputs(domain.texts(spark, sf).select("doc_id", "text"), "text")
-    return score.score_label(rows, model, "text", NAMES).select("doc_id", "first_name", "predicted", "confidence", "error")
+    return score.score_label(rows, saved, "first_name", NAMES).select("doc_id", "first_name", "predicted", "confidence", "error")
 
 
 @query("attach_model")
@@ -407,7 +415,7 @@ def cv_scores(spark, sf):
 def cv_labels(spark, sf):
     """Baseline and two families on five stratified folds."""
     known = _saved(spark, _pool(spark, sf)[0], "pool")
-    plans = {"baseline_majority": [{}], "behaviour_logistic": [{}], "name_logistic": [{}]}
+    plans = {"baseline_majority": [{}], "behaviour_logistic": [{}], "name_logistic": [STEPS]}
     return metrics.interval(tune.cv_labels(known, plans, INPUTS, F.col("doc_id")), ["model"], "accuracy")
 
 

@@ -150,10 +150,16 @@ def stay_match_share(spark, sf):
 
 
 @query("inactive_users", with_(FLIGHTS, USERS) + """
-SELECT code FROM users WHERE code NOT IN (SELECT "userCode" FROM flights WHERE "userCode" IS NOT NULL)""")
+SELECT 'any' AS "flightType", code FROM users WHERE code NOT IN (SELECT "userCode" FROM flights WHERE "userCode" IS NOT NULL)
+UNION ALL
+SELECT 'P', code FROM users WHERE code NOT IN (SELECT "userCode" FROM flights WHERE "userCode" IS NOT NULL AND "flightType" = 'P')""")
 def inactive_users(spark, sf):
+    """Users without a leg, and users without a leg of the rarest class."""
     f = Frames(spark, sf)
-    return x.inactive_users(f.users("code"), f.flights("userCode"))
+    legs = f.flights("userCode", "flightType")
+    parts = [x.inactive_users(f.users("code"), part).select(F.lit(name).alias("flightType"), "code")
+             for name, part in (("any", legs), ("P", legs.where("flightType = 'P'")))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("class_mix_ladder", with_(FLIGHTS) + f"""
@@ -176,7 +182,8 @@ def fare_stats_by_class(spark, sf):
 SELECT agency, count(*) FILTER (WHERE "flightType" = 'F') AS "F", count(*) FILTER (WHERE "flightType" = 'O') AS "O",
        count(*) FILTER (WHERE "flightType" = 'P') AS "P" FROM flights GROUP BY 1""")
 def agency_class_crosstab(spark, sf):
-    return x.crosstab(Frames(spark, sf).flights("agency", "flightType"), "agency", "flightType", domain.CLASSES)
+    f = Frames(spark, sf)
+    return x.crosstab(f.flights("agency", "flightType"), "agency", "flightType", f.classes)
 
 
 @query("revenue_by_agency", with_(FLIGHTS) + """
@@ -223,8 +230,10 @@ def gender_counts(spark, sf):
 
 
 @query("age_histogram", with_(USERS) + """, e AS (SELECT CAST(min(age) AS DOUBLE) AS lo, CAST(max(age) AS DOUBLE) AS hi FROM users)
-SELECT CAST(least(floor((CAST(age AS DOUBLE) - lo) / ((hi - lo) / 22)), 21) AS BIGINT) AS bin, count(*) AS n,
-       CAST(min(age) AS DOUBLE) AS min_value, CAST(max(age) AS DOUBLE) AS max_value FROM users, e GROUP BY 1""")
+SELECT b.bin, count(age) AS n, CAST(min(age) AS DOUBLE) AS min_value, CAST(max(age) AS DOUBLE) AS max_value
+FROM (SELECT unnest(range(22)) AS bin) b LEFT JOIN (
+  SELECT age, CAST(least(floor((CAST(age AS DOUBLE) - lo) / ((hi - lo) / 22)), 21) AS BIGINT) AS bin FROM users, e) v
+ON b.bin = v.bin GROUP BY 1""")
 def age_histogram(spark, sf):
     return plain(x.histogram(Frames(spark, sf).users("age"), "age", 22))
 

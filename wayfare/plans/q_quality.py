@@ -65,24 +65,42 @@ def _union(rows: list[str]) -> str:
     return "\nUNION ALL\n".join(rows)
 
 
-@query("dq_schema", RAW_CTES + _union(SCHEMA_ROWS))
+# Inputs that break a rule: legs without their price and date, orders beside the legs that some lack, legs cut
+# down to their route, fares and spends less a flat amount, and every second user.
+BARE = [c for c in domain.FLIGHT_COLUMNS if c not in ("price", "date")]
+BARE_ROWS = [_row("bare_legs", "schema", "price,date", "error", "2 AS n"), _stat("bare_legs", "rows", "count(*) AS n FROM flights"),
+             _stat("bare_legs", "columns", f"{len(BARE)} AS n")]
+
+
+@query("dq_schema", RAW_CTES + _union(SCHEMA_ROWS + BARE_ROWS))
 def dq_schema(spark, sf):
-    raw = Frames(spark, sf).raw
-    return quality.union_all([quality.schema_check(df, "raw", name, S.RAW[name].names)
-                              for name, df in raw.items()]).drop("message")
+    f = Frames(spark, sf)
+    checks = [quality.schema_check(df, "raw", name, S.RAW[name].names) for name, df in f.raw.items()]
+    checks.append(quality.schema_check(f.flights(*BARE), "raw", "bare_legs", S.RAW["flights"].names))
+    return quality.union_all(checks).drop("message")
+
+
+BOOKED = """, booked AS (SELECT o.o_orderkey, f."from", f.price FROM orders o LEFT JOIN flights f ON o.o_orderkey = f."travelCode")
+"""
 
 
-@query("dq_nulls", RAW_CTES + _union(NULL_ROWS))
+@query("dq_nulls", RAW_CTES + BOOKED + _union(NULL_ROWS + [
+    _row("booked", "nulls", c, "warning", _count(f'"{c}" IS NULL', "booked")) for c in ("o_orderkey", "from", "price")]))
 def dq_nulls(spark, sf):
-    raw = Frames(spark, sf).raw
+    f = Frames(spark, sf)
+    booked = f.table("orders").select("o_orderkey").join(
+        f.flights("travelCode", "from", "price").withColumnRenamed("travelCode", "o_orderkey"), "o_orderkey", "left")
     return quality.union_all([quality.count_rules(df, "raw", name, quality.null_rules(df))
-                              for name, df in raw.items()]).drop("message")
+                              for name, df in {**f.raw, "booked": booked}.items()]).drop("message")
 
 
-@query("dq_duplicates", RAW_CTES + _union(DUP_ROWS))
+@query("dq_duplicates", RAW_CTES + _union(DUP_ROWS + [_row(
+    "legs_by_route", "duplicates", "", "warning",
+    '(SELECT count(*) FROM flights) - (SELECT count(*) FROM (SELECT DISTINCT "from", "to" FROM flights)) AS n')]))
 def dq_duplicates(spark, sf):
-    raw = Frames(spark, sf).raw
-    return quality.union_all([quality.duplicate_check(df, "raw", name) for name, df in raw.items()]).drop("message")
+    f = Frames(spark, sf)
+    frames = {**f.raw, "legs_by_route": f.flights("from", "to")}
+    return quality.union_all([quality.duplicate_check(df, "raw", name) for name, df in frames.items()]).drop("message")
 
 
 @query("dq_domains", with_(FLIGHTS, USERS) + """
@@ -167,8 +185,8 @@ LABEL_ROWS = ["""SELECT 'processed' AS scope, 'gender_features' AS "table", 'lab
 
 @query("dq_table_audit", with_(*T_LABEL) + _union(_audit_rows()))
 def dq_table_audit(spark, sf):
-    tables = build_tables(Frames(spark, sf).raw, domain.CLASSES, domain.AGENCIES)
-    return quality.table_audit(tables, spark).drop("message")
+    f = Frames(spark, sf)
+    return quality.table_audit(build_tables(f.raw, f.classes, f.agencies), spark).drop("message")
 
 
 @query("dq_legs_per_trip", with_(FLIGHTS) + LEGS_SQL)
@@ -190,22 +208,32 @@ def dq_trip_nights(spark, sf):
     return quality.count_rules(Frames(spark, sf).trips, "processed", "trips", [quality.nights_rule()]).drop("message")
 
 
-@query("dq_negative_spend", with_(*T_TRIPS) + SPEND_SQL)
+@query("dq_negative_spend", with_(*T_TRIPS) + SPEND_SQL + "\nUNION ALL\n" + _row(
+    "refunded", "negative_spend", "trip_spend", "error", _count("trip_spend - 50000 < 0", "trips"), "processed"))
 def dq_negative_spend(spark, sf):
-    return quality.count_rules(Frames(spark, sf).trips, "processed", "trips", [quality.spend_rule()]).drop("message")
+    trips = Frames(spark, sf).trips
+    refunded = trips.withColumn("trip_spend", F.col("trip_spend") - 50_000)
+    return quality.union_all([quality.count_rules(df, "processed", name, [quality.spend_rule()])
+                              for name, df in (("trips", trips), ("refunded", refunded))]).drop("message")
 
 
-@query("dq_target_clean", with_(FLIGHTS) + TARGET_SQL)
+@query("dq_target_clean", with_(FLIGHTS) + TARGET_SQL + "\nUNION ALL\n" + _row(
+    "refunded", "target", "price", "error", _count("price - 5000 <= 0", "flights"), "processed"))
 def dq_target_clean(spark, sf):
     legs = Frames(spark, sf).flights("price")
-    return quality.count_rules(legs, "processed", "flight_price_model", [quality.target_rule()]).drop("message")
+    refunded = legs.withColumn("price", F.col("price") - 5000)
+    return quality.union_all([quality.count_rules(df, "processed", name, [quality.target_rule()])
+                              for name, df in (("flight_price_model", legs), ("refunded", refunded))]).drop("message")
 
 
-@query("dq_processed_referential", with_(*T_TRIPS, USERS) + PROCESSED_REF_SQL)
+@query("dq_processed_referential", with_(*T_TRIPS, USERS) + PROCESSED_REF_SQL + "\nUNION ALL\n" + _row(
+    "trips", "half_referential", "user", "error", _orphans("trips", "user", "(SELECT * FROM users WHERE code % 2 = 0)", "code"), "processed"))
 def dq_processed_referential(spark, sf):
     f = Frames(spark, sf)
-    return quality.referential_check(f.trips, "processed", "trips", "user", f.udf, "code",
-                                     "user(s) missing from users_features", "processed_referential").drop("message")
+    halves = {"processed_referential": f.udf, "half_referential": f.people.where("code % 2 = 0")}
+    return quality.union_all([quality.referential_check(f.trips, "processed", "trips", "user", users, "code",
+                                                        "user(s) missing from users_features", check)
+                              for check, users in halves.items()]).drop("message")
 
 
 @query("dq_label_split", with_(USERS, USERS_CLEAN) + _union(LABEL_ROWS))
@@ -224,10 +252,12 @@ def dq_report(spark, sf):
     The raw frames are joins here, so they are kept on disk until the report is done; raw files
     and written tables would simply be scanned again.
     """
-    raw = {name: df.persist(StorageLevel.DISK_ONLY) for name, df in Frames(spark, sf).raw.items()}
-    tables = build_tables(raw, domain.CLASSES, domain.AGENCIES)
-    report = quality.union_all([quality.validate_raw(raw, spark, DOMAINS), quality.validate_processed(tables, spark)])
-    done = quality.gate(report, strict=False).drop("message")
-    for df in raw.values():
-        df.unpersist()
-    return done
+    f = Frames(spark, sf)
+    raw = {name: df.persist(StorageLevel.DISK_ONLY) for name, df in f.raw.items()}
+    try:
+        tables = build_tables(raw, f.classes, f.agencies)
+        report = quality.union_all([quality.validate_raw(raw, spark, DOMAINS), quality.validate_processed(tables, spark)])
+        return quality.gate(report, strict=False).drop("message")
+    finally:
+        for df in raw.values():
+            df.unpersist()

@@ -8,6 +8,7 @@ from wayfare.operators import metrics, models, recommend as rec, score
 from wayfare.plans.frames import Frames
 from wayfare.plans.registry import (
     CATALOG, CITY_HOTEL, FLIGHTS, HOTELS, PAIRS, TRIPS_ONLY, iso, plain, query, r, with_)
+from wayfare.session import scratch_path
 from wayfare.sources import domain
 
 HELD = """ranked AS (
@@ -137,8 +138,6 @@ def interaction_matrix(spark, sf):
 
 # ---- scoring -----------------------------------------------------------------------------
 
-UNSERVED = "4-NOT SPECIFIED"
-
 REQUESTS = """requests AS (
   SELECT o.o_orderkey AS request_id, n.n_name AS "from", h.n_name AS "to", o.o_orderstatus AS "flightType",
          o.o_orderpriority AS agency, CASE WHEN o.o_totalprice >= 100000 THEN CAST(o.o_orderdate AS DATE) END AS date,
@@ -148,12 +147,10 @@ REQUESTS = """requests AS (
     ON n.n_nationkey = month(o.o_orderdate) * 2 + CASE WHEN o.o_orderstatus = 'P' THEN 3 ELSE 0 END
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN nation h ON c.c_nationkey = h.n_nationkey)"""
 
-REFERENCE = f"""served AS (SELECT * FROM flights WHERE agency <> '{UNSERVED}'),
-per_route AS (SELECT "from", "to", min(distance) AS distance, count(*) AS n FROM served GROUP BY 1, 2),
-routes AS (SELECT * FROM per_route WHERE n >= (SELECT avg(n) FROM per_route)),
-cities AS (SELECT "from" AS c FROM per_route UNION SELECT "to" FROM per_route),
-classes AS (SELECT DISTINCT "flightType" AS v FROM served),
-agencies AS (SELECT DISTINCT agency AS v FROM served)"""
+REFERENCE = """routes AS (SELECT "from", "to", min(distance) AS distance FROM flights GROUP BY 1, 2),
+cities AS (SELECT "from" AS c FROM routes UNION SELECT "to" FROM routes),
+classes AS (SELECT DISTINCT "flightType" AS v FROM flights),
+agencies AS (SELECT DISTINCT agency AS v FROM flights)"""
 
 CHECKED = """checked0 AS (
   SELECT q.*, t.distance AS d, CASE
@@ -172,11 +169,9 @@ checked AS (SELECT *, CASE WHEN error IS NULL THEN d END AS distance FROM checke
 
 
 def served_reference(f: Frames) -> dict:
-    """Routes with at least the average traffic, and the domains of the served agencies."""
-    legs = f.flights("from", "to", "distance", "flightType", "agency").where(F.col("agency") != UNSERVED)
-    routes = legs.groupBy("from", "to").agg(F.min("distance").alias("distance"), F.count("*").alias("n"))
-    busy = routes.agg(F.avg("n")).scalar()
-    return {"routes": routes.where(F.col("n") >= busy).drop("n"), **score.reference_domains(legs, routes)}
+    """The reference of all legs, written once and loaded as a server would."""
+    ref = score.build_reference(f.flights("from", "to", "distance", "flightType", "agency"))
+    return score.load_reference(f.spark, score.save_reference(ref, scratch_path(f.spark, "reference")))
 
 
 @query("score_requests_validate", with_(FLIGHTS, REQUESTS, REFERENCE, CHECKED) + f"""
@@ -233,7 +228,9 @@ def build_recommender(spark, sf):
 
 
 def _price_model(f: Frames) -> models.Model:
-    return models.fit_price("ridge", f.legs)
+    """Fitted, saved and loaded, as a server would have it."""
+    path = models.save_model(f.spark, models.fit_price("ridge", f.legs), scratch_path(f.spark, "price-model"))
+    return models.load_model(f.spark, path)
 
 
 @query("score_flight_price")
@@ -249,7 +246,6 @@ def score_flight_price(spark, sf):
 def fare_ladder(spark, sf):
     """Every valid request priced in each class, relative to the base class."""
     f = Frames(spark, sf)
-    rows = score.ladder_requests(domain.requests(spark, sf).select("request_id", *score.REQUIRED, "date"),
-                                 domain.CLASSES)
+    rows = score.ladder_requests(domain.requests(spark, sf).select("request_id", *score.REQUIRED, "date"), f.classes)
     scored = score.score_flight_price(rows, served_reference(f), _price_model(f), F.lit("2024-01-01").cast("date"))
     return score.fare_ladder(scored, ["request_id", "from", "to", "agency"], "F")

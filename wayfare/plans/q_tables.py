@@ -140,7 +140,8 @@ def feature_profile(spark, sf):
 def table_summary(spark, sf):
     """Builds and writes all nine tables, reads them back and reports rows, files and bytes."""
     folder = scratch_path(spark, "tables")
-    write_tables(spark, Frames(spark, sf).raw, folder, "parquet", domain.CLASSES, domain.AGENCIES)
+    f = Frames(spark, sf)
+    write_tables(spark, f.raw, folder, "parquet", f.classes, f.agencies)
     return io.table_summary(spark, folder, list(KEY_COLUMNS))
 
 

@@ -54,18 +54,19 @@ def write_table(df: DataFrame, folder: str, name: str, fmt: str = "parquet") ->
     return path
 
 
-def find_table(spark: SparkSession, folder: str, name: str) -> str | None:
-    for fmt in ("csv", "parquet"):
-        path = f"{table_path(folder, name)}.{fmt}"
-        if _exists(spark, path):
-            return path
-    return None
+def find_table(spark: SparkSession, folder: str, name: str, fmt: str | None = None) -> str | None:
+    """The path of a written table. With both formats there and none asked for, either could be stale."""
+    paths = [f"{table_path(folder, name)}.{f}" for f in ((fmt,) if fmt else ("csv", "parquet"))]
+    found = [p for p in paths if _exists(spark, p)]
+    if len(found) > 1:
+        raise ValueError(f"'{name}' is in {folder} as CSV and as Parquet: name the format")
+    return found[0] if found else None
 
 
 def read_table(spark: SparkSession, folder: str, name: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """A written table with its types; CSV is tried first, then Parquet."""
-    path = find_table(spark, folder, name)
+               columns: Sequence[str] | None = None, fmt: str | None = None) -> DataFrame:
+    """A written table with its types, in the given format or in the one that is there."""
+    path = find_table(spark, folder, name, fmt)
     if path is None:
         raise FileNotFoundError(f"no CSV or Parquet for '{name}' in {folder}")
     if path.endswith(".csv"):
