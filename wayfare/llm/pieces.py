@@ -277,7 +277,10 @@ class Pieces:
         """Bytes of the decoded texts end to end, and their bounds."""
         skip = np.zeros(len(ids), np.int64)
         if self.prefix:
-            first = bounds[:-1][np.diff(bounds) > 0]
+            first, last = bounds[:-1][np.diff(bounds) > 0], bounds[1:][np.diff(bounds) > 0]
+            while len(hidden := np.flatnonzero(self.shown_size[ids[first]] == 0)):  # control pieces show nothing
+                first[hidden] += 1
+                first, last = first[first < last], last[first < last]
             skip[first] = self.starts_blank[ids[first]]
         size = self.shown_size[ids] - skip
         total = np.zeros(len(ids) + 1, np.int64)
