@@ -39,6 +39,7 @@ N_GRAM = 5
 PERCENT = 75
 FRAGMENTS = 4
 BITS = 512
+BROADCAST_NAMES = 200_000  # 8 bytes each
 #: When pivots give way to all remaining pairs: few of these per row, or few new links for so many rows. Either
 #: way every link is found; the numbers only share the work between the two.
 PIVOTS, PAIRS_PER_ROW, ROWS_PER_LINK = 4, 8, 100
@@ -200,9 +201,9 @@ def _shared(segments: DataFrame, parts: int) -> DataFrame:
 
 
 def _survivors(shared: DataFrame, parts: int) -> DataFrame:
-    """name, n, number of shared n-grams, first (n-grams to be looked up), the shared n-grams in global order
-    and a bitmap of them, of each class that shares 75 % of its n-grams or more."""
-    schema = "name long, n int, shared int, first int, grams binary, bits array<long>"
+    """name, n, number of shared n-grams, those to be looked up in global order, all shared ones, and a bitmap
+    of them, of each class that shares 75 % of its n-grams or more."""
+    schema = "name long, n int, shared int, heads binary, grams binary, bits array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = _gathered(batches, {"names": np.int64, "sizes": np.int32, "counts": np.uint32, "grams": U64, "dfs": np.uint16})
@@ -225,12 +226,13 @@ def _survivors(shared: DataFrame, parts: int) -> DataFrame:
             rows = slice(a, a + 2000)
             size = total[chosen[rows]]
             packed = [gram[i:i + t].tobytes() for i, t in zip(edge[rows].tolist(), size.tolist())]
+            heads = [x[:8 * k] for x, k in zip(packed, (size - least[rows] + 1).tolist())]
             bits = _bitmaps(gram[ragged(edge[rows], size)], size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(name[chosen[rows]]), pa.array(n[chosen[rows]].astype(np.int32)), pa.array(size.astype(np.int32)),
-                 pa.array((size - least[rows] + 1).astype(np.int32)), pa.array(packed, pa.binary()),
+                 pa.array(heads, pa.binary()), pa.array(packed, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * bits.shape[1]), pa.array(bits.ravel()))],
-                names=["name", "n", "shared", "first", "grams", "bits"])
+                names=["name", "n", "shared", "heads", "grams", "bits"])
 
     return shared.repartitionById(parts, F.col("part")).mapInArrow(run, schema)
 
@@ -244,23 +246,28 @@ def _bitmaps(gram: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
-def _posts(survivors: DataFrame) -> DataFrame:
-    """gram, name, n, left (shared n-grams from this one on) for the n-grams that a class is looked up by."""
+def _posts(survivors: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    """gram, name, n, shared, left (shared n-grams from this one on) and root of a class, for each n-gram that
+    it is looked up by. The root of a class without links is itself."""
+    columns = survivors.select("name", "n", "shared", "heads")
+    if roots is not None:
+        columns = columns.join(roots.withColumnRenamed("node", "name"), "name", "left")
+    root = F.col("name") if roots is None else F.coalesce("root", "name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared, first = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            grams = [np.frombuffer(g, np.int64)[:k] for g, k in zip(batch.column(4).to_pylist(), first.tolist())]
-            size = np.array([len(g) for g in grams], np.int64)
-            owner = np.repeat(np.arange(len(grams)), size)
-            left = shared[owner] - ragged(np.zeros(len(size), np.int64), size)
+            heads = batch.column(4).to_pylist()
+            size = np.array([len(h) // 8 for h in heads], np.int64)
+            owner = np.repeat(np.arange(len(heads)), size)
+            left = batch.column(2).to_numpy()[owner] - ragged(np.zeros(len(size), np.int64), size)
+            of = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*grams, np.zeros(0, np.int64)])), batch.column(0).take(pa.array(owner)),
-                 batch.column(1).take(pa.array(owner)), batch.column(2).take(pa.array(owner)), pa.array(left.astype(np.int32))],
-                names=["gram", "name", "n", "shared", "left"])
+                [pa.array(np.frombuffer(b"".join(heads), np.int64)), *(batch.column(i).take(of) for i in (0, 1, 2)),
+                 pa.array(left.astype(np.int32)), batch.column(3).take(of)],
+                names=["gram", "name", "n", "shared", "left", "root"])
 
-    return survivors.select("name", "n", "shared", "first", "grams").mapInArrow(
-        run, "gram long, name long, n int, shared int, left int")
+    return columns.select("name", "n", "shared", root.alias("root"), "heads").mapInArrow(
+        run, "gram long, name long, n int, shared int, left int, root long")
 
 
 def _fragments(survivors: DataFrame) -> DataFrame:
@@ -294,14 +301,26 @@ def _close(na: str, nb: str, sa: str, sb: str, a: str, b: str) -> str:
     return f"{100 + PERCENT} * ({na} - {sa} + {nb} - {sb} + {differ}) <= {100 - PERCENT} * ({na} + {nb})"
 
 
-def _links(pairs: DataFrame, survivors: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) that link: overlaps counted per fragment and summed."""
-    cells = _fragments(survivors)
+def _links(spark: SparkSession, pairs: DataFrame, survivors: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) that link: overlaps counted per fragment and summed. Written tables.
+
+    Bitmaps go first, as they are small. Only classes of a pair are moved, if their names are few enough to be
+    sent to every task.
+    """
+    pairs = keep(spark, pairs, "pairs")
+    cells = survivors
+    if 2 * pairs.count() <= BROADCAST_NAMES:
+        names = pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct()
+        cells = cells.join(F.broadcast(names), "name", "left_semi")
+    for side in "ab":
+        pairs = pairs.join(cells.select(F.col("name").alias(side), F.col("shared").alias(f"s{side}"), F.col("bits").alias(f"bits{side}")), side)
+    pairs = pairs.where(_close("na", "nb", "sa", "sb", "bitsa", "bitsb")).select("a", "b", "na", "nb")
+    cells = _fragments(cells)
     left = cells.select(F.col("name").alias("a"), F.col("grams").alias("x"))
     right = cells.select(F.col("name").alias("b"), F.col("grams").alias("y"))
     partial = [F.size(F.array_intersect(F.col("x")[f], F.col("y")[f])) for f in range(FRAGMENTS)]
     counted = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", sum(partial[1:], partial[0]).alias("overlap"))
-    return counted.where(f"100 * overlap >= {PERCENT} * (na + nb - overlap)").select("a", "b")
+    return keep(spark, counted.where(f"100 * overlap >= {PERCENT} * (na + nb - overlap)").select("a", "b"), "links")
 
 
 def _stars(posts: DataFrame, turn: int) -> DataFrame:
@@ -310,7 +329,7 @@ def _stars(posts: DataFrame, turn: int) -> DataFrame:
     ranks = [F.struct("name")] if turn == 0 else \
         [F.struct(F.xxhash64("name", "gram", F.lit(PIVOTS * turn + i)), "name") for i in range(PIVOTS)]
     chosen = F.array(*[F.min_by(F.struct("name", "n", "shared", "root"), r) for r in ranks])
-    pivots = posts.groupBy("gram").agg(chosen.alias("p")).select("gram", F.explode(F.array_distinct("p")).alias("p")) \
+    pivots = posts.groupBy("gram").agg(chosen.alias("p"), F.count("*").alias("c")).where("c > 1").select("gram", F.explode(F.array_distinct("p")).alias("p")) \
         .select("gram", F.col("p.name").alias("b"), F.col("p.n").alias("nb"), F.col("p.shared").alias("sb"), F.col("p.root").alias("rb"))
     return posts.join(pivots, "gram").where("root <> rb").where(_fit("n", "nb", "shared", "sb")) \
         .select(F.col("name").alias("a"), "b", F.col("n").alias("na"), "nb").distinct()
@@ -320,23 +339,21 @@ def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "tex
     """node and root for every class of texts that links with another class."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     survivors = keep(spark, _survivors(_shared(_segments(docs, text_column, parts), parts), parts), "sets")
-    posts = _posts(survivors)
-    lists = posts.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
-    posts = keep(spark, posts.join(lists, "gram"), "posts")
-    open_, roots, links, turn = posts.withColumn("root", F.col("name")), None, None, 0
+    open_, roots, links, turn = _posts(survivors), None, None, 0
     none = spark.createDataFrame([], "node long, root long")
     while True:
-        new = keep(spark, _links(_stars(open_, turn), survivors), "links")
+        new = _links(spark, _stars(open_, turn), survivors)
         found = new.count()
         if found:
             links = new if links is None else links.unionByName(new)
             roots = components(spark, links)
-            labelled = posts.join(roots.withColumnRenamed("node", "name"), "name", "left") \
+        if turn == 0:
+            labelled = _posts(survivors, roots)
+        elif found:
+            labelled = open_.drop("root").join(roots.withColumnRenamed("node", "name"), "name", "left") \
                 .withColumn("root", F.coalesce("root", "name"))
-        else:
-            labelled = open_
         split = labelled.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        open_ = keep(spark, labelled.join(split.select("gram"), "gram"), "open")
+        open_ = labelled = keep(spark, labelled.join(split.select("gram"), "gram"), "open")
         rows, pairs = open_.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram") \
             .agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("squares")) \
             .agg(F.sum("n"), F.sum(F.expr("(n * n - squares) / 2"))).head()
@@ -345,7 +362,7 @@ def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "tex
             return none if roots is None else roots
         if pairs <= PAIRS_PER_ROW * rows or ROWS_PER_LINK * found < rows:
             break
-    more = keep(spark, _links(_rest(open_, survivors), survivors), "links")
+    more = _links(spark, _rest(open_, survivors), survivors)
     if more.isEmpty():
         return none if roots is None else roots
     return components(spark, more if links is None else links.unionByName(more))
