@@ -23,25 +23,25 @@ class Feature:
 
 # The register. A trailing * stands for a family of columns.
 REGISTER = (
-    Feature("age", "int", "users", "age in years"),
-    Feature("company", "category", "users", "employer"),
-    Feature("home_city", "category", "trips", "most frequent outbound origin"),
-    Feature("first_name", "text", "users", "first word of the name, lower case"),
-    Feature("n_trips", "int", "trips", "number of trips"),
-    Feature("recency_days", "int", "trips", "days from the last departure to the snapshot"),
-    Feature("total_spend", "float", "trips", "flight and hotel spend"),
-    Feature("flight_spend", "float", "trips", "flight spend"),
-    Feature("hotel_spend", "float", "hotels", "hotel spend"),
-    Feature("avg_trip_spend", "float", "trips", "mean spend per trip"),
-    Feature("avg_trip_nights", "float", "trips", "mean nights per trip"),
-    Feature("avg_distance", "float", "trips", "mean distance per trip"),
-    Feature("n_destinations", "int", "trips", "distinct destinations"),
-    Feature("hotel_attach_rate", "float", "trips+hotels", "share of trips with a stay"),
-    Feature("share_class_*", "float", "trips", "share of trips per flight class"),
-    Feature("share_agency_*", "float", "trips", "share of trips per agency"),
-    Feature("bookings", "int", "hotels", "bookings of a hotel by a traveller"),
-    Feature("nights", "int", "hotels", "nights of a traveller at a hotel"),
-    Feature("nightly_rate", "float", "hotels", "rate of a hotel"),
+    Feature("age", "int", "users", "from `age`"),
+    Feature("company", "category", "users", "from `company`"),
+    Feature("home_city", "category", "trips", "mode of `origin` over a user's trips, ties by name"),
+    Feature("first_name", "text", "users", "lower(first word of `name`)"),
+    Feature("n_trips", "int", "trips", "count of trips"),
+    Feature("recency_days", "int", "trips", "snapshot date - max(`depart`)"),
+    Feature("total_spend", "float", "trips", "sum of `trip_spend`"),
+    Feature("flight_spend", "float", "trips", "sum of `flight_cost`"),
+    Feature("hotel_spend", "float", "hotels", "sum of `hotel_cost`"),
+    Feature("avg_trip_spend", "float", "trips", "avg of `trip_spend`"),
+    Feature("avg_trip_nights", "float", "trips", "avg of `trip_nights`"),
+    Feature("avg_distance", "float", "trips", "avg of `distance` over trips"),
+    Feature("n_destinations", "int", "trips", "distinct `dest`"),
+    Feature("hotel_attach_rate", "float", "trips+hotels", "avg of `has_hotel`"),
+    Feature("share_class_*", "float", "trips", "trips of the class / trips"),
+    Feature("share_agency_*", "float", "trips", "trips of the agency / trips"),
+    Feature("bookings", "int", "hotels", "count of stays per (user, hotel)"),
+    Feature("nights", "int", "hotels", "sum of `days` per (user, hotel)"),
+    Feature("nightly_rate", "float", "hotels", "`price` of the first stay"),
 )
 
 
@@ -111,8 +111,8 @@ def hotel_catalog(hotels: DataFrame, ordered: bool = True) -> DataFrame:
 def feature_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Null rate, extremes, mean and distinct count of every registered feature found in a table.
 
-    Each table is read once: plain statistics in one aggregate, distinct counts over
-    (feature, value) pairs that are deduplicated on the map side.
+    Plain statistics are one aggregate of a table, distinct counts another one over its (feature, value)
+    pairs, which are deduplicated on the map side.
     """
     parts = []
     for table, df in tables.items():
@@ -128,10 +128,13 @@ def feature_profile(tables: dict[str, DataFrame]) -> DataFrame:
             number = isinstance(df.schema[name].dataType, T.NumericType)
             stat = c.cast("double") if number else F.lit(None).cast("double")
             aggs += [F.count_if(c.isNull()).alias(f"n{i}"), F.min(stat).alias(f"lo{i}"),
-                     F.max(stat).alias(f"hi{i}"), F.avg(stat).alias(f"m{i}"),
-                     F.countDistinct(c).alias(f"d{i}")]
+                     F.max(stat).alias(f"hi{i}"), F.avg(stat).alias(f"m{i}")]
             cells[name] = {"null_rate": ratio(F.col(f"n{i}"), F.col("rows")), "min_value": F.col(f"lo{i}"),
-                           "max_value": F.col(f"hi{i}"), "mean_value": F.col(f"m{i}"), "n_distinct": F.col(f"d{i}")}
+                           "max_value": F.col(f"hi{i}"), "mean_value": F.col(f"m{i}")}
         wide = df.agg(F.count("*").alias("rows"), *aggs)
-        parts.append(unpivot(wide.withColumn("table", F.lit(table)), ["table"], "feature", cells))
+        stats = unpivot(wide.withColumn("table", F.lit(table)), ["table"], "feature", cells)
+        pairs = unpivot(df, [], "feature", {n: {"v": F.col(f"`{n}`").cast("string")} for n in names})
+        distinct = pairs.where("v is not null").distinct().groupBy("feature").agg(F.count("*").alias("n_distinct"))
+        parts.append(stats.join(distinct, "feature", "left").select(
+            *stats.columns, F.coalesce("n_distinct", F.lit(0)).alias("n_distinct")))
     return reduce(DataFrame.unionByName, parts)

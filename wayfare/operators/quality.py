@@ -63,6 +63,9 @@ def count_rules(df: DataFrame, scope: str, table: str, rules: Sequence[Rule]) ->
     return scan(df, scope, table, rules)
 
 
+# Fixed words in the messages below: "missing columns", "outside", "not present in users", "no matching flight",
+# "null", "duplicate".
+
 # ---- rules -------------------------------------------------------------------------------
 
 def null_rules(df: DataFrame) -> list[Rule]:
@@ -79,16 +82,16 @@ def total_rule(tolerance: float = S.TOTAL_TOLERANCE, digits: int | None = None)
     product = _bt("price") * _bt("days")
     product = product if digits is None else F.round(product, digits)
     return Rule("total_identity", "total", "error", F.abs(product - _bt("total")) > tolerance,
-                "row(s) where total differs from price * days")
+                "stay(s): total is not price times days")
 
 
 def nights_rule(low: int = S.NIGHTS[0], high: int = S.NIGHTS[1]) -> Rule:
     inside = F.coalesce(_bt("trip_nights").between(low, high), F.lit(False))
-    return Rule("trip_nights", "trip_nights", "warning", ~inside, f"trip(s) outside the {low}-{high} night range")
+    return Rule("trip_nights", "trip_nights", "warning", ~inside, f"trip(s): nights not within {low}..{high}")
 
 
 def spend_rule() -> Rule:
-    return Rule("negative_spend", "trip_spend", "error", _bt("trip_spend") < 0, "trip(s) with negative spend")
+    return Rule("negative_spend", "trip_spend", "error", _bt("trip_spend") < 0, "trip(s): spend below zero")
 
 
 def target_rule(col: str = "price") -> Rule:
@@ -152,7 +155,7 @@ def legs_check(legs: DataFrame, scope: str = "processed", expected: int = S.LEGS
     bad = legs.groupBy("travelCode").agg(F.count("*").alias("n")).where(F.col("n") != expected)
     return bad.agg(F.count("*").alias("k")).select(
         _judged(scope, "flights_clean", "legs_per_trip", "travelCode", "error", F.col("k"),
-                f"travelCode(s) without exactly {expected} legs").alias("_r")).select("_r.*")
+                f"trip(s): number of legs is not {expected}").alias("_r")).select("_r.*")
 
 
 KNOWN = "labelled"
@@ -166,9 +169,9 @@ def label_rows(scope: str = "processed") -> list[Column]:
     """Labelled rows against rows to impute; no labelled row is an error."""
     table, known = "gender_features", F.col(KNOWN)
     return [_row(scope, table, "labelled", "gender", F.when(known == 0, "error").otherwise("passed"), known,
-                 F.when(known == 0, f"[{table}] no labelled rows to train on").otherwise(f"[{table}] labelled rows")),
+                 F.when(known == 0, f"[{table}] every label is unknown").otherwise(f"[{table}] known labels")),
             _row(scope, table, "to_impute", "gender", F.lit("passed"), F.col("size") - known,
-                 F.lit(f"[{table}] rows to impute"))]
+                 F.lit(f"[{table}] unknown labels"))]
 
 
 def label_split_check(df: DataFrame, scope: str = "processed") -> DataFrame:
