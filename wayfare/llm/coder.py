@@ -22,7 +22,7 @@ import numpy as np
 
 MAGIC = b"WFI1"
 HEAD = struct.Struct("<4sIIIII")
-LANES = 4096
+LANES = 8192
 LEAST_STEPS = 64
 EVENT_BITS, SYMBOL_BITS = 12, 22
 PAIR_BITS = 18

@@ -31,7 +31,8 @@ from wayfare.llm import coder
 from wayfare.llm.words import KeyTable, Words, ragged, slices
 
 CACHE_BITS = 21
-BLOCK_IDS = 1 << 21
+MARK = 0x01
+BLOCK_IDS = 1 << 22
 
 
 class IdWords:
@@ -45,6 +46,10 @@ class IdWords:
         if not any(s["type"] == "Split" and s["behavior"] == "Removed" and s["invert"] for s in steps):
             raise ValueError("only vocabularies that drop the white space between words are read")
         self.symbols = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        mark = self.tokenizer.encode(chr(MARK), add_special_tokens=False).ids
+        if len(mark) != 1:
+            raise ValueError("the vocabulary has no id for the mark between words")
+        self.mark = mark[0]
         self.table = KeyTable(CACHE_BITS)
         self.clear()
 
@@ -55,10 +60,31 @@ class IdWords:
         self.at, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
 
     def _encode(self, words: Words, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        texts = [words.buf[a:b].tobytes().decode("utf-8") for a, b in zip(words.starts[where].tolist(), words.ends[where].tolist())]
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.array([len(x) for x in lists], np.int64)
-        return np.fromiter((i for x in lists for i in x), np.int32, int(size.sum())), size
+        """Ids of some words end to end, and the number of each: they go to the library as one text, with a
+        control character as a word of its own between them; words that hold it go one by one."""
+        size = words.ends[where] - words.starts[where]
+        marked = np.zeros(len(words.buf) + 1, np.int64)
+        np.cumsum(words.buf == MARK, out=marked[1:])
+        odd = marked[words.ends[where]] > marked[words.starts[where]]
+        where_odd, plain = where[odd], np.flatnonzero(~odd)
+        at = np.cumsum(size[plain] + 3) - size[plain] - 3
+        joined = np.full(int((size[plain] + 3).sum()), 0x20, np.uint8)
+        joined[ragged(at, size[plain])] = words.buf[ragged(words.starts[where[plain]], size[plain])]
+        joined[at + size[plain] + 1] = MARK
+        found = np.array(self.tokenizer.encode_batch_fast([joined.tobytes().decode("utf-8")], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(found == self.mark)
+        n = np.zeros(len(where), np.int64)
+        n[plain] = np.diff(ends, prepend=-1) - 1
+        found = found[found != self.mark]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(
+            [words.buf[a:b].tobytes().decode("utf-8") for a, b in zip(words.starts[where_odd], words.ends[where_odd])],
+            add_special_tokens=False)]
+        n[odd] = [len(x) for x in lists]
+        out = np.empty(int(n.sum()), np.int32)
+        first = np.cumsum(n) - n
+        out[ragged(first[plain], n[plain])] = found
+        out[ragged(first[odd], n[odd])] = [i for x in lists for i in x]
+        return out, n
 
     def encode(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts of a slice end to end, and the number of ids of each."""
