@@ -13,7 +13,7 @@ segment there.
 3. Overlaps are counted separately in each of `FRAGMENTS` fragments of the hash order and summed per pair;
    pairs with 100 * overlap >= 75 * union are links.
 4. Components of these links are found. Where an n-gram of step 2 still joins several components, steps 2
-   and 3 go on with other pivots while that pays. Then all pairs of holders from different components are
+   and 3 are done once more with other pivots, if that saves pairs. Then all pairs of holders from different components are
    compared as in step 3, but for those that cannot link by their sizes, by the place of the n-gram in
    both orders or by the number of bits in which bitmaps of the sets differ, which are exact bounds. So no
    link between different components is lost, while copies of one text cost a few comparisons each.
@@ -40,10 +40,10 @@ PERCENT = 75
 FRAGMENTS = 4
 BITS = 512
 BROADCAST_NAMES = 200_000  # 8 bytes each
-#: When pivots give way to all remaining pairs: few of these per row, or few new links for so many rows. Either
-#: way every link is found; the numbers only share the work between the two.
-PIVOTS, PAIRS_PER_ROW, ROWS_PER_LINK = 4, 8, 100
-FLUSH = 1 << 21
+#: When pivots give way to all remaining pairs: few of these per row, or after so many rounds. Either way every
+#: link is found; the numbers only share the work between the two.
+PIVOTS, PAIRS_PER_ROW, ROUNDS = 4, 8, 2
+FLUSH = 1 << 20
 COUNT_TOP = np.iinfo(np.uint16).max
 
 
@@ -347,11 +347,8 @@ def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "tex
         if found:
             links = new if links is None else links.unionByName(new)
             roots = components(spark, links)
-        if turn == 0:
+        if turn == 0 or found:
             labelled = _posts(survivors, roots)
-        elif found:
-            labelled = open_.drop("root").join(roots.withColumnRenamed("node", "name"), "name", "left") \
-                .withColumn("root", F.coalesce("root", "name"))
         split = labelled.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         open_ = labelled = keep(spark, labelled.join(split.select("gram"), "gram"), "open")
         rows, pairs = open_.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram") \
@@ -360,7 +357,7 @@ def linked_classes(spark: SparkSession, docs: DataFrame, text_column: str = "tex
         turn += 1
         if not rows:
             return none if roots is None else roots
-        if pairs <= PAIRS_PER_ROW * rows or ROWS_PER_LINK * found < rows:
+        if pairs <= PAIRS_PER_ROW * rows or turn == ROUNDS:
             break
     more = _links(spark, _rest(open_, survivors), survivors)
     if more.isEmpty():

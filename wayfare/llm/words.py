@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_HASH = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
