@@ -1,7 +1,7 @@
 """Registered metric, split, fold, encoder, model and search queries.
 
-The Spark ML jobs run over the whole tables; their boosting rounds, tree counts, grids and
-permutations are smaller than the library defaults, to keep one query within a minute.
+The Spark ML jobs run over the whole tables with the library's defaults: its rounds, trees, iteration limits,
+families, search spaces, folds and permutations.
 """
 
 from __future__ import annotations
@@ -286,7 +286,6 @@ def _saved(spark, df: DataFrame, label: str) -> DataFrame:
 
 # ---- price models -------------------------------------------------------------------------
 
-ROUNDS = {"rounds": 20}
 LEG_KEY = ("travelCode", "userCode", "from", "to", "date", "price")
 
 
@@ -316,20 +315,19 @@ def model_tree(spark, sf):
 
 @query("model_gbt")
 def model_gbt(spark, sf):
-    return _fit_report(Frames(spark, sf), "gbt", **ROUNDS)
+    return _fit_report(Frames(spark, sf), "gbt")
 
 
 @query("model_rate_per_km")
 def model_rate_per_km(spark, sf):
-    return _fit_report(Frames(spark, sf), "gbt_rate_per_km", **ROUNDS)
+    return _fit_report(Frames(spark, sf), "gbt_rate_per_km")
 
 
 @query("evaluate_price")
 def evaluate_price(spark, sf):
     """The four families on both splits; the selected one is fitted again on all legs and saved."""
-    plans = {"ridge": {}, "decision_tree": {}, "gbt": ROUNDS, "gbt_rate_per_km": ROUNDS}
     legs = _saved(spark, Frames(spark, sf).legs, "legs")
-    scored, model = models.select_price(legs, _leg_keys(), plans)
+    scored, model = models.select_price(legs, _leg_keys())
     models.save_model(spark, model, scratch_path(spark, "price-model"))
     return scored
 
@@ -337,9 +335,8 @@ def evaluate_price(spark, sf):
 # ---- label models over the text pool --------------------------------------------------------
 
 INPUTS = models.LabelInputs(["lang", "source"], ["n_chars"], "text")
-# The registered n-gram fits stop after 100 steps (a step is a Spark job); the library goes on to its tolerance.
-STEPS = {"max_iter": 100}
 NAMES = ("low", "high")
+REPEATS = range(42, 47)
 
 
 def _pool(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -359,29 +356,29 @@ def model_logistic_behaviour(spark, sf):
 
 @query("model_random_forest")
 def model_random_forest(spark, sf):
-    return _label_report(spark, sf, "behaviour_rf", trees=50)
+    return _label_report(spark, sf, "behaviour_rf")
 
 
 @query("model_gbt_classifier")
 def model_gbt_classifier(spark, sf):
-    return _label_report(spark, sf, "behaviour_gbt", rounds=10)
+    return _label_report(spark, sf, "behaviour_gbt")
 
 
 @query("model_name_logistic")
 def model_name_logistic(spark, sf):
-    return _label_report(spark, sf, "name_logistic", **STEPS)
+    return _label_report(spark, sf, "name_logistic")
 
 
 @query("model_name_plus_behaviour")
 def model_name_plus_behaviour(spark, sf):
-    return _label_report(spark, sf, "name_plus_behaviour", **STEPS)
+    return _label_report(spark, sf, "name_plus_behaviour")
 
 
 @query("impute_labels")
 def impute_labels(spark, sf):
     """Labels of all unlabelled texts from a model of all labelled ones."""
     known, unknown = _pool(spark, sf)
-    model = models.fit_label("name_logistic", known, INPUTS, **STEPS)
+    model = models.fit_label("name_logistic", known, INPUTS)
     return spark.read.parquet(models.write_imputed(model, unknown, "doc_id", NAMES, scratch_path(spark, "imputed")))
 
 
@@ -390,7 +387,7 @@ def score_gender(spark, sf):
     """Request rows (all texts, as names) to label and confidence; a blank one is an error."""
     known, _ = _pool(spark, sf)
     first = score.name_inputs(known, "text")
-    model = models.fit_label("name_logistic", first, models.LabelInputs([], [], "first_name"), **STEPS)
+    model = models.fit_label("name_logistic", first, models.LabelInputs([], [], "first_name"))
     saved = models.load_model(spark, models.save_model(spark, model, scratch_path(spark, "name-model")))
     rows = score.name_inputs(domain.texts(spark, sf).select("doc_id", "text"), "text")
     return score.score_label(rows, saved, "first_name", NAMES).select("doc_id", "first_name", "predicted", "confidence", "error")
@@ -398,53 +395,54 @@ def score_gender(spark, sf):
 
 @query("attach_model")
 def attach_model(spark, sf):
-    return models.evaluate_attach(Frames(spark, sf).trips, rounds=10)
+    return models.evaluate_attach(Frames(spark, sf).trips)
 
 
 # ---- cross-validation and search ------------------------------------------------------------
 
 @query("cv_scores")
 def cv_scores(spark, sf):
-    """Ridge and tree on five route folds: mean, spread and interval of R2."""
+    """Every family on five route folds: mean, spread and interval of R2."""
     legs = _saved(spark, Frames(spark, sf).legs, "legs")
-    scores = tune.cv_price(legs, {"ridge": [{}], "decision_tree": [{}]})
+    scores = tune.cv_price(legs, {m: [{}] for m in models.PRICE_MODELS})
     return metrics.interval(scores, ["model"], "r2", chance=0.0)
 
 
 @query("cv_labels")
 def cv_labels(spark, sf):
-    """Baseline and two families on five stratified folds."""
+    """Baseline and every family on five stratified folds, dealt anew for each repeat."""
     known = _saved(spark, _pool(spark, sf)[0], "pool")
-    plans = {"baseline_majority": [{}], "behaviour_logistic": [{}], "name_logistic": [STEPS]}
-    return metrics.interval(tune.cv_labels(known, plans, INPUTS, F.col("doc_id")), ["model"], "accuracy")
+    plans = {m: [{}] for m in models.LABEL_MODELS}
+    scores = models.union([tune.cv_labels(known, plans, INPUTS, F.col("doc_id"), seed=seed) for seed in REPEATS])
+    return metrics.interval(scores, ["model"], "accuracy")
 
 
 @query("permutation_test")
 def permutation_test(spark, sf):
     known = _saved(spark, _pool(spark, sf)[0], "pool")
-    return tune.permutation_test(known, "behaviour_logistic", INPUTS, F.col("doc_id"), n=10)
+    return tune.permutation_test(known, "behaviour_logistic", INPUTS, F.col("doc_id"))
 
 
 @query("grid_search")
 def grid_search(spark, sf):
+    """Every family whose grid is small enough to be searched whole."""
     legs = _saved(spark, Frames(spark, sf).legs, "legs")
-    return tune.tune_price(legs, {"ridge": tune.PRICE_GRIDS["ridge"]})
+    return tune.tune_price(legs, {m: tune.PRICE_GRIDS[m] for m in ("ridge", "decision_tree", "gbt")})
 
 
 @query("random_search")
 def random_search(spark, sf):
-    """Four seeded draws of the tree grid against the default on the same folds."""
+    """Seeded draws of the one larger grid against the default on the same folds."""
     legs = _saved(spark, Frames(spark, sf).legs, "legs")
-    return tune.tune_price(legs, {"decision_tree": {"max_depth": [6, 10, 12], "min_leaf": [5, 20, 50]}}, limit=4, draws=4)
+    return tune.tune_price(legs, {"gbt_rate_per_km": tune.PRICE_GRIDS["gbt_rate_per_km"]})
 
 
 @query("fresh_fold_verification")
 def fresh_fold_verification(spark, sf):
     known = _saved(spark, _pool(spark, sf)[0], "pool")
-    return tune.tune_labels(known, {"behaviour_logistic": {"C": [0.1, 1.0]}}, INPUTS, F.col("doc_id"), k=3)
+    return tune.tune_labels(known, tune.LABEL_GRIDS, INPUTS, F.col("doc_id"))
 
 
 @query("tune_attach")
 def tune_attach(spark, sf):
-    trips = _saved(spark, Frames(spark, sf).trips, "trips")
-    return tune.tune_attach(trips, {"rate": [0.05, 0.1], "rounds": [5]}, k=3, draws=2, default={"rounds": 4})
+    return tune.tune_attach(_saved(spark, Frames(spark, sf).trips, "trips"), tune.ATTACH_GRID)
