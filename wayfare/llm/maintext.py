@@ -5,6 +5,11 @@ that holds it (menus, headers, footers, sidebars, notices, adverts, forms and co
 its link density, its length and its density of stop words. Short blocks stay open. In pass 2 an open block
 takes the label of its nearest decided neighbours in the same part of the page.
 
+A class or id marks such a part by a whole word of `HINTS` or a compound of them with `QUALIFIERS` ("site-footer",
+not "has-sidebar"). A mark of that kind never holds for a main element inside, nor for an article inside that has
+more text than all that is left of the page. Where the long blocks of a page hold few of the stop words, its language is
+not covered and length and link density decide alone.
+
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined in page order by one newline. Nothing else is dropped or cut.
 
@@ -17,7 +22,8 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +31,7 @@ from pyspark.sql import functions as F
 
 SHORT, LONG = 70, 200
 LINKS, STOP_LOW, STOP_HIGH = 0.2, 0.30, 0.32
+COVERED = 0.2
 
 #: Elements that end a block, that never hold text, that never hold main text, that hold it.
 BLOCK = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -40,6 +47,10 @@ HINTS = set("ad ads adv advert advertisement adverts adslot banner breadcrumb br
             "navigation newsletter notice notices pager pagination paywall popup promo promotion promoted related "
             "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription "
             "teaser toolbar topbar widget widgets".split())
+#: Words that make a compound of a hint and still name that part.
+QUALIFIERS = set("area article bar block bottom box btn button buttons container entry fixed form global group holder icons "
+                 "inner item items left link links list main mobile module outer page panel policy post posts primary "
+                 "right row secondary section site slot sticky thread title top unit widget wrap wrapper zone".split())
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 #: Frequent function words in English, French, German and Spanish.
 STOP_WORDS = set(
@@ -62,46 +73,57 @@ _WORD = re.compile(r"\w+")
 
 
 class Block:
-    __slots__ = ("text", "links", "outside", "part", "heading", "label")
+    __slots__ = ("text", "links", "outside", "part", "heading", "hinted", "label")
 
-    def __init__(self, text: str, links: int, outside: bool, part: int, heading: bool):
+    def __init__(self, text: str, links: int, outside: bool, part: int, heading: bool, hinted: bool = False):
         self.text, self.links, self.outside, self.part, self.heading = text, links, outside, part, heading
+        self.hinted = hinted  # outside by nothing but a class or id
         self.label: bool | None = None
 
 
-def _hidden_part(name: str, raw: str, inside: bool) -> bool:
-    """Whether an element is a part of the page that is not main text."""
+def _hints(names: str) -> set[str]:
+    """Hints of a class or id: of words, and of compounds that hold nothing but hints and qualifiers."""
+    out: set[str] = set()
+    for token in names.split():
+        parts = {w.lower() for w in _PART.findall(token.split("--")[0])}
+        if parts & HINTS and parts <= HINTS | QUALIFIERS:
+            out |= parts & HINTS
+    return out
+
+
+def _hidden_part(name: str, raw: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is a part of the page that is not main text: for certain, by its class or id."""
     if name in OUTSIDE and not (inside and name == "header"):
-        return True
+        return True, False
     if not raw or name in ("html", "body"):
-        return False
+        return False, False
     found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw)}
     if found.get("role", "").lower() in ROLES or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", raw) or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
-    words = {w.lower() for w in _PART.findall(found.get("class", "") + " " + found.get("id", ""))} & HINTS
+        return True, False
+    words = _hints(found.get("class", "") + " " + found.get("id", ""))
     if name in INSIDE:
         words &= {"comment", "comments", "reply", "ad", "ads", "advert", "promo", "related", "teaser", "sponsored"}
     elif inside:
         words -= {"header"}
-    return bool(words)
+    return False, bool(words)
 
 
-def blocks(page: str) -> list[Block]:
-    """All blocks with text, in page order."""
+def blocks(page: str, opened: Collection[int] = ()) -> list[Block]:
+    """All blocks with text, in page order; hints around the `opened` parts do not count."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, inside
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, outside for certain, outside by a hint, inside
     text: list[str] = []
     links = link_depth = part = 0
-    heading = outside = inside = False
+    heading = outside = hinted = inside = False
     at, end = 0, len(page)
 
     def close() -> None:
         nonlocal links
         shown = _SPACE.sub(" ", entities.unescape("".join(text))).strip() if text else ""
         if shown:
-            out.append(Block(shown, links, outside, part if inside else 0, heading))
+            out.append(Block(shown, links, outside or hinted, part if inside else 0, heading, hinted and not outside))
         text.clear()
         links = 0
 
@@ -144,18 +166,40 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
             if name in INSIDE and not inside:
                 part += 1
-            before = stack[-1] if stack else ("", False, False)
-            stack.append((name, before[1] or _hidden_part(name, raw, before[2]), before[2] or name in INSIDE))
+            _, firm, hint, within = stack[-1] if stack else ("", False, False, False)
+            if name == "main" or (name in INSIDE and not within and part in opened):
+                hint = False
+            own = _hidden_part(name, raw, within)
+            stack.append((name, firm or own[0], hint or own[1], within or name in INSIDE))
         link_depth = 0 if name != "a" else link_depth
-        _, outside, inside = stack[-1] if stack else ("", False, False)
+        _, outside, hinted, inside = stack[-1] if stack else ("", False, False, False)
         heading = any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in stack[-2:])
     close()
     return out
 
 
+def lost_parts(found: list[Block]) -> set[int]:
+    """Parts hidden by hints only that hold more text than all that is shown of the page."""
+    shown, hidden = 0, Counter()
+    for b in found:
+        if not b.outside:
+            shown += len(b.text) - b.links
+        elif b.hinted and b.part:
+            hidden[b.part] += len(b.text) - b.links
+    return {part for part, n in hidden.items() if n > shown}
+
+
+def _covered(found: list[Block]) -> bool:
+    """Whether the long blocks of a page have stop words enough to be in a language of the list."""
+    words = [w.lower() for b in found if not b.outside and len(b.text) >= SHORT and b.links <= LINKS * len(b.text)
+             for w in _WORD.findall(b.text)]
+    return sum(w in STOP_WORDS for w in words) >= COVERED * len(words)
+
+
 def label(found: list[Block]) -> None:
     """Both passes: sets the label of every block."""
     framed = any(b.part and not b.outside for b in found)
+    covered = framed or _covered(found)
     for b in found:
         n = len(b.text)
         density = b.links / n
@@ -166,7 +210,7 @@ def label(found: list[Block]) -> None:
         elif n >= SHORT:
             words = [w.lower() for w in _WORD.findall(b.text)]
             stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            if b.part or stops >= (STOP_HIGH if n < LONG else STOP_LOW):
+            if b.part or not covered or stops >= (STOP_HIGH if n < LONG else STOP_LOW):
                 b.label = True
             elif b.links or n < LONG:
                 b.label = False if not words else None
@@ -200,6 +244,8 @@ def _inherit(found: list[Block]) -> None:
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
+    if opened := lost_parts(found):
+        found = blocks(page or "", opened)
     label(found)
     return "\n".join(b.text for b in found if b.label)
 
