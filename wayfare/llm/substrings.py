@@ -1,4 +1,4 @@
-"""Removal of repeated word runs by a relative Lempel-Ziv parse of every text against all others.
+"""Removal of repeated word runs by exact hashes of all windows of every text against all others.
 
 A run of `length` words that also starts anywhere else is a repeat, and every word of it goes. The index
 holds reference blocks: among the (length + 1) // 2-word grams inside each window of `length` words, the
@@ -7,8 +7,9 @@ same block. The steps are:
 
 1. Each text lists the names of its blocks; names that no other block has are dropped.
 2. Texts send their remaining blocks (consecutive windows under one name, as 64-bit hashes) to the name.
-   There each block is factored greedily against every other block of that name: a factor goes on while
-   the next window continues in the same reference, and starts anew where it does not.
+   There the windows of all blocks of that name are sorted by hash; a window seen twice is a repeat, and its
+   reference is the next equal window. A factor is a run in which the next window continues in the same
+   reference. There is no greedy parse: equal windows alone decide what goes.
 3. Factors come back to their text, cover `length` - 1 more words than they have windows, and are cut out.
 
 Equal names within a batch, and equal blocks, are settled there; one of them travels on. So a name that a
