@@ -36,7 +36,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document the number and digest of its piece ids, and the digest of the decoded text."""
-    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), spans=True)
 
 
 STAGES = [("quality rules", quality_rules), ("n-gram Jaccard join", near_copies),

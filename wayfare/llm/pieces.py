@@ -366,14 +366,18 @@ def _by_batch(docs: DataFrame, id_column: str, text_column: str, schema: str, ro
         run, f"`{id_column}` {kind}, {schema}")
 
 
+def _aligned(m: Pieces, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids of all texts end to end, their bounds, and the source byte span of every id."""
+    normal, at, source = m.normalise(buf, offsets)
+    ids, bounds = m.encode(normal, at)
+    return ids, bounds, *m.spans(ids, bounds, offsets, source, normal)
+
+
 def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, ids, starts and ends of every row: the pieces and their byte spans in the original text."""
 
     def rows(buf: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
-        m = pieces(model)
-        normal, at, source = m.normalise(buf, offsets)
-        ids, bounds = m.encode(normal, at)
-        start, end = m.spans(ids, bounds, offsets, source, normal)
+        ids, bounds, start, end = _aligned(pieces(model), buf, offsets)
         by = pa.array(bounds.astype(np.int32))
         return [pa.ListArray.from_arrays(by, pa.array(x.astype(np.int32))) for x in (ids, start, end)]
 
@@ -397,13 +401,18 @@ def decode(frame: DataFrame, model: str, id_column: str = "doc_id", ids_column:
     return frame.select(id_column, ids_column).mapInArrow(run, f"`{id_column}` {kind}, text string")
 
 
-def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 and decoded_sha256 of every row: encoded, decoded and digested; no shuffle."""
+def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text",
+               spans: bool = False) -> DataFrame:
+    """id, n_tokens, ids_sha256 and decoded_sha256 of every row: encoded, decoded and digested; no shuffle. With
+    `spans` also spans_sha256, of the source byte spans as pairs of 32-bit numbers (start, end)."""
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", spans_sha256 string" * spans
 
     def rows(buf: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
         m = pieces(model)
-        normal, at, _ = m.normalise(buf, offsets)
-        ids, bounds = m.encode(normal, at)
+        if spans:
+            ids, bounds, start, end = _aligned(m, buf, offsets)
+        else:
+            ids, bounds = m.encode(*m.normalise(buf, offsets)[:2])
         text, where = m.decode(ids, bounds)
         size = m.digits_size[ids]
         listed = m.digits[ragged(m.digits_at[ids], size)]
@@ -413,6 +422,11 @@ def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_colu
         sha = hashlib.sha256
         by_ids = [sha(listed[a:max(a, b - 1)]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         by_text = [sha(text[a:b]).hexdigest() for a, b in zip(where[:-1].tolist(), where[1:].tolist())]
-        return [pa.array(np.diff(bounds)), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())]
-
-    return _by_batch(docs, id_column, text_column, "n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
+        out = [pa.array(np.diff(bounds)), pa.array(by_ids, pa.string()), pa.array(by_text, pa.string())]
+        if spans:
+            pair = np.stack([start, end], axis=1).astype("<i4")
+            by_span = [sha(pair[a:b].tobytes()).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            out.append(pa.array(by_span, pa.string()))
+        return out
+
+    return _by_batch(docs, id_column, text_column, schema, rows)

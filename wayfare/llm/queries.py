@@ -34,7 +34,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_pieces")
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), spans=True)
 
 
 @query("op2_quality_rules", r"""
