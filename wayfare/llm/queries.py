@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfare.llm import decontam, idfiles, jaccard, maintext, neighbours, pieces, pii, rules, substrings, tokens
+from wayfare.llm import (
+    copies, decontam, idfiles, jaccard, maintext, neighbours, periodic, pieces, pii, rules, substrings, tokens, variants)
 from wayfare.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +132,23 @@ def id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "ids")
     idfiles.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return idfiles.digest_ids(spark, path)
+
+
+@query("op11_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = variants.count_words(table(spark, sf_dir, "documents"), damage=variants.DAMAGE)
+    return variants.group_variants(spark, counted)
+
+
+@query("op12_exact_dedup", """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+""")
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.equal_texts(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(table(spark, sf_dir, "documents"), rewrite=periodic.planted_tail)
