@@ -122,8 +122,9 @@ def _classes(spark: SparkSession, members: DataFrame) -> DataFrame:
     final = found.where(F.col("n_bytes") <= HEAD).select("row", F.col("label").alias("root"))
     open_ = found.where(F.col("n_bytes") > HEAD)
     left, width = HEAD, DIGIT
-    level = keep(spark, leaders.where(F.col("n_bytes") > HEAD).select("row", "rest")
-                 .join(open_.select("row", "n_bytes", F.col("label").alias("grp")), "row"), "copies-level")
+    # merged at every size, as the undecided rows grow with the corpus
+    texts = leaders.where(F.col("n_bytes") > HEAD).select("row", "rest").hint("merge")
+    level = keep(spark, texts.join(open_.select("row", "n_bytes", F.col("label").alias("grp")), "row"), "copies-level")
     while not level.isEmpty():
         digit = level.select("row", "n_bytes", "grp", F.substring("rest", 1, width).alias("digit"),
                              F.expr(f"substring(rest, {width + 1})").alias("rest"))
