@@ -4,7 +4,8 @@ The trie is a table of edges, built and used one level at a time. Paths without
 number of levels is that of the branching points on a path (some 10 to 20 for natural words), not the longest
 word. A node is named by its smallest word; its depth is the number of code points above it.
 
-* A state is (word, position, node, edits). Every word starts at the root, position 0, without an edit.
+* A state is (word, position, node, edits). Every word starts without an edit, below the first code points that
+  no edit may touch (see below).
 * The edges of a level are an aggregate of the states without an edit: those at a node are grouped by their
   next code point; the smallest and largest word of a group give the common prefix, thus the child's depth.
 * The states are joined with the edges of their node. Without an edit, the edge of the own next code point leads on
@@ -12,10 +13,12 @@ word. A node is named by its smallest word; its depth is the number of code poin
   has one more code point) or deleted (the word has). With an edit, only the edge that the word spells out is taken.
 * A state with one edit that ends at the end of a word is a neighbour. So is a word without its last code point.
 
-An edit is always made at the first difference of the two words, so every pair is found once from each side. A node
-has at most one edge per letter, and states die as soon as an edge disagrees. The upper levels have few edges (AQE
-broadcasts a side only by its size), the lower ones are shuffled by node; the states of a node that very many
-words share are the larger side, which AQE may split. Every level is written to the shared folder.
+An edit is always made at the first difference of the two words, so every pair is found once from each side. Near
+the root almost every edge exists and edited states would live on; so the words and the reversed words make a trie
+each, and only the half of a word away from the root is edited: pairs that agree in the first half are found in
+the one, the others, which agree in the last half, in the other. There a node has few edges and states die at once.
+Levels are shuffled by node; the states of a node that very many words share are the larger side of the join, which
+AQE may split, and the aggregate combines before its shuffle. Every level is written to the shared folder.
 
 Words are counted with a partial aggregate in each task, so a frequent word sends one row per task.
 
@@ -30,7 +33,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfare.llm.graph import keep
 
@@ -62,16 +64,16 @@ def _common(a: str, b: str) -> Column:
 
 
 def _edges(states: DataFrame) -> DataFrame:
-    """node, letter, label, child, depth (of the child), end_n (n of the word that ends there, else null) and
-    alone (only one word is below)."""
+    """back, at (node), letter, label, child, depth (of the child), end_n (n of the word that ends there, else null)
+    and alone (only one word is below)."""
     own = states.where("edits = 0 and node is not null and length(word) > pos")
     first = F.min(F.struct("word", "n"))
-    grouped = own.groupBy("node", F.substring("word", F.col("pos") + 1, F.lit(1)).alias("letter")).agg(
+    grouped = own.groupBy("back", "node", F.substring("word", F.col("pos") + 1, F.lit(1)).alias("letter")).agg(
         first.alias("low"), F.max("word").alias("high"), F.min("pos").alias("above"))
-    low = grouped.select("node", "letter", "above", F.col("low.word").alias("child"), F.col("low.n").alias("n"), "high")
+    low = grouped.select("back", "node", "letter", "above", F.col("low.word").alias("child"), F.col("low.n").alias("n"), "high")
     low = low.withColumn("depth", F.when(F.col("child") == F.col("high"), F.length("child")).otherwise(_common("child", "high")))
     label = F.substring("child", F.col("above") + 1, F.col("depth") - F.col("above"))
-    return low.select(F.col("node").alias("at"), "letter", label.alias("label"), "child", "depth",
+    return low.select("back", F.col("node").alias("at"), "letter", label.alias("label"), "child", "depth",
                       F.when(F.length("child") == F.col("depth"), F.col("n")).alias("end_n"),
                       (F.col("child") == F.col("high")).alias("alone"))
 
@@ -83,51 +85,61 @@ def _spelt(at: Column, label: Column) -> Column:
 
 def _arrive(rows: DataFrame, edits: int, pos: Column) -> DataFrame:
     """States at the edge's end, with the neighbour that they have reached there."""
-    done = F.col("end_n").isNotNull() & (F.length("word") == F.col("to"))
-    if edits == 0:  # the word without its last code point ends here
-        done = F.col("end_n").isNotNull() & (F.length("word") == F.col("to") + 1)
     rows = rows.withColumn("to", pos)
-    return rows.select("word", "n", F.col("to").alias("pos"), F.when(~F.col("alone"), F.col("child")).alias("node"),
+    # without an edit so far, the word without its last code point ends here
+    done = F.col("end_n").isNotNull() & (F.length("word") == F.col("to") + (1 - edits))
+    return rows.select("back", "word", "n", F.col("to").alias("pos"), F.when(~F.col("alone"), F.col("child")).alias("node"),
                        F.lit(edits).alias("edits"), F.when(done, F.col("child")).alias("near"),
                        F.when(done, F.col("end_n")).alias("near_n")) \
         .where("near is not null or node is not null")
 
 
+def _fixed(word: str) -> Column:
+    """How many code points from the root are not edited: half of them, the middle one only in the word's own trie."""
+    return F.when(F.col("back"), F.ceil(F.length(word) / 2)).otherwise(F.floor(F.length(word) / 2)).cast("int")
+
+
 def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
     """The states after one edge each."""
-    pos, letter = F.col("pos"), F.substring("word", F.col("pos") + 1, F.lit(1))
-    live = states.where("node is not null").select("word", "n", "pos", "node", "edits")
-    own = live.where("edits = 0").join(edges, F.col("node") == F.col("at"))
-    label, rest = F.col("label"), F.expr("substring(label, 2)")
-    more = F.length("word") > pos
-    straight = _arrive(own.where(more & (letter == F.col("letter"))), 0, F.col("depth"))
-    aside = own.where(~(more & (letter == F.col("letter"))))
+    pos, letter, label = F.col("pos"), F.substring("word", F.col("pos") + 1, F.lit(1)), F.col("label")
+    rest, more = F.expr("substring(label, 2)"), F.length("word") > F.col("pos")
+    live = states.where("node is not null").select("back", "word", "n", "pos", "node", "edits", letter.alias("next"))
+    edges = edges.withColumnRenamed("back", "way")
+    node = (F.col("back") == F.col("way")) & (F.col("node") == F.col("at"))
+    own = live.where(more).join(edges, node & (F.col("next") == F.col("letter")))
+    straight = _arrive(own.where("edits = 0"), 0, F.col("depth"))
+    behind = _arrive(own.where("edits = 1").where(_spelt(pos, label)), 1, pos + F.length(label))
+    aside = live.where("edits = 0").where(pos >= _fixed("word")).join(edges, node & (F.col("next") != F.col("letter")))
     moves = [(more & _spelt(pos + 1, rest), pos + F.length(label)),        # replaced
              (_spelt(pos, rest), pos + F.length(label) - 1),               # inserted
              (more & _spelt(pos + 1, label), pos + F.length(label) + 1)]   # deleted
-    tried = aside.withColumn("ends", F.array_compact(F.array(*[F.when(ok, end) for ok, end in moves])))
-    edited = _arrive(tried.where(F.size("ends") > 0).withColumn("end", F.explode("ends")), 1, F.col("end"))
-    # a state may only lead on where its word does not end before the child
-    behind = live.where("edits = 1 and length(word) > pos").withColumn("next", letter) \
-        .join(edges, (F.col("node") == F.col("at")) & (F.col("next") == F.col("letter"))).where(_spelt(pos, label))
-    return straight.unionByName(edited).unionByName(_arrive(behind, 1, pos + F.length(label)))
+    ends = F.array_compact(F.array(*[F.when(ok, end) for ok, end in moves]))
+    edited = aside.withColumn("end", F.explode(ends))
+    return straight.unionByName(behind).unionByName(_arrive(edited, 1, F.col("end")))
 
 
 def neighbours(spark: SparkSession, words: DataFrame) -> DataFrame:
     """word, near and near_n (n of near) for all pairs of words exactly one edit apart, from both sides.
 
     `words` has distinct, non-empty words with their n."""
-    start = words.where("word is not null and word <> ''").select(
-        "word", "n", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(0).alias("edits"),
-        F.lit(None).cast("string").alias("near"), F.lit(None).cast("long").alias("near_n"))
-    states, found = keep(spark, start, "trie-states"), []
+    words = words.where("word is not null and word <> ''").select("word", "n")
+    shared = (words.agg(F.min(F.length("word"))).first()[0] or 0) // 2  # code points that no edit touches in any word
+    both = words.select(F.lit(False).alias("back"), "word", "n").unionByName(
+        words.select(F.lit(True).alias("back"), F.reverse("word").alias("word"), "n"))
+    states = keep(spark, both.select("back", "word", "n", F.lit(shared).alias("pos"), F.substring("word", 1, shared).alias("node"),
+                                     F.lit(0).alias("edits"), F.lit(None).cast("string").alias("near"),
+                                     F.lit(None).cast("long").alias("near_n")), "trie-states")
+    found = []
     while not states.where("edits = 0 and node is not null").isEmpty():
         edges = keep(spark, _edges(states), "trie-edges")
         states = keep(spark, _step(states, edges), "trie-states")
-        found.append(states.where("near is not null").select("word", "near", "near_n"))
-    empty = spark.createDataFrame([], T.StructType([T.StructField("word", T.StringType()), T.StructField("near", T.StringType()),
-                                                    T.StructField("near_n", T.LongType())]))
-    return reduce(DataFrame.unionByName, found, empty)
+        found.append(states.where("near is not null").select("back", "word", "near", "near_n"))
+    empty = spark.createDataFrame([], "back boolean, word string, near string, near_n long")
+    every = reduce(DataFrame.unionByName, found, empty)
+    turned = every.select("back", *[F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c)).alias(c) for c in ("word", "near")], "near_n")
+    half = F.floor(F.length("word") / 2).cast("int")
+    again = F.substring("word", F.lit(1), half) == F.substring("near", F.lit(1), half)  # the other trie has this pair
+    return turned.where(~F.col("back") | ~again).select("word", "near", "near_n")
 
 
 def group_variants(spark: SparkSession, words: DataFrame, factor: int = FACTOR) -> DataFrame:
