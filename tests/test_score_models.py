@@ -80,7 +80,7 @@ def test_request_checks(spark, reference):
 
 
 def test_fares_climb_with_the_class(spark, card, reference):
-    model = models.fit_price("gbt_rate_per_km", card, rounds=10)
+    model = models.fit_price("gbt_rate_per_km", card, rounds=80)  # every tree is shrunk, the first one too
     base = requests(spark, {}, {"from": "Atlantis"}, {"date": None})
     ladder = score.ladder_requests(base, list(RATES))
     today = F.lit("2022-01-01").cast("date")

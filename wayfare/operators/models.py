@@ -1,7 +1,7 @@
 """Model families: price regression, label classification, hotel attachment.
 
-Every family is a function (train frame) -> Model. The fits are Spark ML jobs over the encoded
-frame; predictions are columns.
+Every family is a function (train frame) -> Model; predictions are columns. Trees, forests and boosting are grown by
+`boost`, ridge by `linear`; the logistic models of one fit are Spark ML jobs over the encoded frame.
 """
 
 from __future__ import annotations
@@ -11,28 +11,22 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel, RandomForestClassificationModel,
-    RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression,
-    LinearRegressionModel)
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfare import schemas as S
 from wayfare.functions.columns import half_up, ratio
-from wayfare.operators import folds, metrics
+from wayfare.operators import boost, folds, linear, metrics
 from wayfare.operators.encode import Encoder, fit_encoder, load_encoder, save_encoder
 
-BINS = 256
 ROWS_PER_TASK = 10_000
 PARALLEL = 4
-MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
+LEAVES, MIN_LEAF = 31, 20  # of boosted trees, unless given
 
 
 @dataclass
@@ -40,7 +34,7 @@ class Model:
     """A fitted encoder and estimator. `transform` adds `prediction`, and `p1` for a classifier."""
 
     name: str
-    encoder: Encoder | None
+    encoder: Encoder | boost.Bins | linear.OneHot | None
     fitted: object
     per_unit: str | None = None  # column the prediction is multiplied with
     constant: tuple[float, float] | None = None  # (prediction, p1) of the majority baseline
@@ -48,28 +42,30 @@ class Model:
     def transform(self, df: DataFrame) -> DataFrame:
         if self.constant is not None:
             return df.withColumns({"prediction": F.lit(self.constant[0]), "p1": F.lit(self.constant[1])})
-        out = self.fitted.transform(self.encoder.transform(df))
+        direct = isinstance(self.fitted, (boost.Ensemble, linear.Linear))
+        out = self.fitted.transform(df if direct else self.encoder.transform(df))
         if "probability" in out.columns:
             out = out.withColumn("p1", vector_to_array("probability")[1])
         if self.per_unit:
             out = out.withColumn("prediction", F.col("prediction") * F.col(self.per_unit))
-        return out.drop("features", "rawPrediction", "probability")
+        return out if direct else out.drop("features", "rawPrediction", "probability")
 
 
 Fit = Callable[[DataFrame], Model]
-ESTIMATES = {c.__name__: c for c in (LinearRegressionModel, DecisionTreeRegressionModel, GBTRegressionModel,
-                                     LogisticRegressionModel, RandomForestClassificationModel, GBTClassificationModel)}
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> str:
     """Write a fitted model with its encoder; `load_model` in another session scores alike."""
     kind = None if model.fitted is None else type(model.fitted).__name__
-    plain = {"name": model.name, "kind": kind, "per_unit": model.per_unit, "constant": model.constant,
-             "encoder": model.encoder is not None}
+    own = isinstance(model.encoder, Encoder)
+    plain = {"name": model.name, "kind": kind, "per_unit": model.per_unit, "constant": model.constant, "encoder": own,
+             "linear": asdict(model.fitted) if kind == "Linear" else None}
     spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
-    if model.encoder is not None:
+    if own:
         save_encoder(spark, model.encoder, f"{path}/encoder")
-    if model.fitted is not None:
+    if kind == "Ensemble":
+        model.fitted.save(spark, f"{path}/fitted")
+    elif kind == "LogisticRegressionModel":
         model.fitted.write().overwrite().save(f"{path}/fitted")
     return path
 
@@ -77,7 +73,15 @@ def save_model(spark: SparkSession, model: Model, path: str) -> str:
 def load_model(spark: SparkSession, path: str) -> Model:
     plain = json.loads(spark.read.text(f"{path}/model").first()[0])
     encoder = load_encoder(spark, f"{path}/encoder") if plain["encoder"] else None
-    fitted = ESTIMATES[plain["kind"]].load(f"{path}/fitted") if plain["kind"] else None
+    fitted = None
+    if plain["kind"] == "Ensemble":
+        fitted = boost.Ensemble.load(f"{path}/fitted", spark)
+        encoder = fitted.bins
+    elif plain["kind"] == "Linear":
+        fitted = linear.Linear(**plain["linear"] | {"columns": linear.OneHot(**plain["linear"]["columns"])})
+        encoder = fitted.columns
+    elif plain["kind"]:
+        fitted = LogisticRegressionModel.load(f"{path}/fitted")
     constant = tuple(plain["constant"]) if plain["constant"] else None
     return Model(plain["name"], encoder, fitted, plain["per_unit"], constant)
 
@@ -108,23 +112,22 @@ def tasks_for(rows: int) -> int:
     return max(1, math.ceil(rows / ROWS_PER_TASK))
 
 
-def ridge(alpha: float, data: DataFrame) -> LinearRegression:
-    """Least squares with penalty alpha * |w|^2. Spark divides the loss by n and by the label's
-    deviation, so the penalty is scaled likewise to give the closed-form solution."""
-    n, sd = data.agg(F.count("*"), F.stddev_pop("label")).first()
-    return LinearRegression(regParam=alpha / n * (sd or 1.0), elasticNetParam=0.0, standardization=False,
-                            solver="normal")
+def price_spec(kind: str, **p) -> boost.TreeSpec:
+    """The trees of a price model; `max_depth` None or `leaves` None means no limit."""
+    if kind == "decision_tree":
+        return boost.TreeSpec("mean", 1, depth=p.get("max_depth", 12), min_leaf=p.get("min_leaf", MIN_LEAF))
+    return boost.TreeSpec("squared", p.get("rounds", 300), p.get("rate", 0.1), p.get("leaves", LEAVES), p.get("max_depth"),
+                          p.get("min_leaf", MIN_LEAF))
 
 
-def price_estimator(kind: str, data: DataFrame, **p):
-    """One estimator with the given parameters over an encoded frame."""
-    if kind == "ridge":
-        return ridge(p.get("alpha", 1.0), data)
-    if kind == "decision_tree":
-        return DecisionTreeRegressor(maxDepth=p.get("max_depth", 12), minInstancesPerNode=p.get("min_leaf", 20),
-                                     maxBins=BINS, seed=42)
-    return GBTRegressor(maxIter=p.get("rounds", 300), stepSize=p.get("rate", 0.1), maxDepth=p.get("max_depth", 5),
-                        minInstancesPerNode=p.get("min_leaf", 20), maxBins=BINS, seed=42)
+def label_spec(kind: str, bins: boost.Bins, **p) -> boost.TreeSpec:
+    """The trees of a label model. A node of a forest tries the square root of the number of columns."""
+    if kind == "behaviour_rf":
+        columns = max(1, math.isqrt(sum(map(len, bins.values)) + len(bins.num)))
+        return boost.TreeSpec("mean", p.get("trees", 300), depth=p.get("max_depth"), min_leaf=p.get("min_leaf", 5),
+                              columns=columns, draws=True)
+    return boost.TreeSpec("log", p.get("rounds", 200), p.get("rate", 0.1), p.get("leaves", LEAVES), p.get("max_depth"),
+                          p.get("min_leaf", MIN_LEAF))
 
 
 PRICE_MODELS = ("ridge", "decision_tree", "gbt", "gbt_rate_per_km")
@@ -136,10 +139,13 @@ def fit_price(kind: str, train: DataFrame, **params) -> Model:
     per_unit = "distance" if kind.endswith("rate_per_km") else None
     label = ratio(F.col("price"), F.col("distance")) if per_unit else F.col("price")
     rows = train.withColumn("label", label).where(F.col("label").isNotNull())
-    encoder = fit_encoder(rows, S.PRICE_CAT, S.PRICE_NUM, scale=False, impute=False)
-    with encoded(encoder, rows) as (data, _):
-        fitted = price_estimator(kind.removesuffix("_rate_per_km"), data, **params).fit(data)
-    return Model(kind, encoder, fitted, per_unit)
+    family = kind.removesuffix("_rate_per_km")
+    if family == "ridge":
+        fitted = linear.fit_ridge(rows, S.PRICE_CAT, S.PRICE_NUM, F.col("label"), params.get("alpha", 1.0))
+        return Model(kind, fitted.columns, fitted, per_unit)
+    bins = boost.fit_bins(rows, S.PRICE_CAT, S.PRICE_NUM, median=False)
+    fitted = boost.fit(boost.make_blocks(rows, bins, F.col("label")), bins, price_spec(family, **params))
+    return Model(kind, bins, fitted, per_unit)
 
 
 def ridge_coefficients(model: Model, k: int = 8) -> list[tuple[str, float]]:
@@ -201,6 +207,9 @@ LABEL_MODELS = ("baseline_majority", "behaviour_logistic", "behaviour_rf", "beha
                 "name_plus_behaviour")
 
 
+TREE_LABELS = ("behaviour_rf", "behaviour_gbt", "attach_gbt")
+
+
 def label_encoder(kind: str, train: DataFrame, inputs: LabelInputs, **p) -> Encoder:
     text = {"grams": p.get("grams", (2, 4)), "min_df": p.get("min_df", 2)}
     if kind == "name_logistic":
@@ -211,13 +220,6 @@ def label_encoder(kind: str, train: DataFrame, inputs: LabelInputs, **p) -> Enco
 
 
 def label_estimator(kind: str, n: int, **p):
-    if kind == "behaviour_rf":
-        return RandomForestClassifier(numTrees=p.get("trees", 300), minInstancesPerNode=p.get("min_leaf", 5),
-                                      maxDepth=p.get("max_depth", MAX_DEPTH), maxBins=BINS, seed=42)
-    if kind.endswith("gbt"):
-        return GBTClassifier(maxIter=p.get("rounds", 200), stepSize=p.get("rate", 0.1),
-                             maxDepth=p.get("max_depth", 5), minInstancesPerNode=p.get("min_leaf", 20),
-                             maxBins=BINS, seed=42)
     # The penalty |w|^2 / 2 against C times the summed loss is 1 / (C n) against the mean loss.
     # The solver stops at its tolerance; thousands of rare n-grams converge slowly, so these models get
     # the higher limit.
@@ -234,6 +236,10 @@ def fit_majority(train: DataFrame, label: str = "label") -> Model:
 def fit_label(kind: str, train: DataFrame, inputs: LabelInputs, label: str = "label", **params) -> Model:
     if kind == "baseline_majority":
         return fit_majority(train, label)
+    if kind in TREE_LABELS:
+        bins = boost.fit_bins(train, inputs.cat, inputs.num)
+        blocks = boost.make_blocks(train, bins, F.col(label))
+        return Model(kind, bins, boost.fit(blocks, bins, label_spec(kind, bins, **params), classifies=True))
     encoder = label_encoder(kind, train, inputs, **params)
     with encoded(encoder, train, label) as (data, n):
         fitted = label_estimator(kind, n, **params).fit(data)
