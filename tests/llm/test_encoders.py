@@ -132,3 +132,25 @@ def test_id_files(spark, edge_docs, edge_rows, no_docs, monkeypatch):
     empty = scratch_path(spark, "ids")
     idfiles.write_ids(no_docs, empty, WORD)
     assert idfiles.digest_ids(spark, empty).count() == 0
+
+
+def test_latin_words_are_merged_as_the_library_does():
+    import public_tokenizers
+    import pyarrow as pa
+    import tokenizers
+
+    from wayfare.llm import idfiles
+    from wayfare.llm.words import slices
+
+    rng = random.Random(21)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, library = idfiles.IdWords(path), tokenizers.Tokenizer.from_file(path)
+    pool = [chr(c) for c in range(0x21, 0x250)] + list("etaoinshrdlu" * 30) + list("ÀÉÜß×÷'’<|>0123456789,.;:!" * 4) + [" "] * 120
+    pool += ["́", " ", "\n", "\x1c", "\x01", "İ", "K"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(3000)] + ["<|endoftext|>it's", "", "O'Neil's 12'34"]
+    got = []
+    for _, buf, offsets in slices(pa.array(texts)):
+        ids, n = words.encode(buf, offsets)
+        edge = [0, *n.cumsum().tolist()]
+        got += [ids[a:b].tolist() for a, b in zip(edge[:-1], edge[1:])]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]

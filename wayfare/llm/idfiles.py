@@ -6,8 +6,9 @@ documents' ids), `sizes` (their numbers of token ids, little-endian 32-bit, zlib
 packed by `coder`, which resets its model for each block and checks a CRC-32.
 
 Texts are dealt out by ranges of their id and sorted there, so `part` orders the blocks. Words between
-white space are encoded by the tokenizers library once and then looked up by a 64-bit hash in a table that
-each Python worker keeps; the vocabulary's own rules never look across white space, which `IdWords` checks.
+white space are encoded once and then looked up by a 64-bit hash in a table that each Python worker keeps; the
+vocabulary's own rules never look across white space, which `IdWords` checks. New words of plain Latin characters
+are merged together by `merges` (`LatinWords`); all others go to the tokenizers library.
 
 Edge cases: a null or empty text has only its end id; equal ids are ordered by text; a null id comes first;
 an empty table gives files without blocks; other columns are not read.
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfare.llm import coder
+from wayfare.llm.merges import PairTable, merge
+from wayfare.llm.tokens import byte_symbols
 from wayfare.llm.words import KeyTable, Words, ragged, slices
 
 CACHE_BITS = 21
@@ -35,6 +38,78 @@ MARK = 0x01
 BLOCK_IDS = 1 << 22
 
 
+#: The rules that `LatinWords` follows.
+LATIN_RULES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LATIN_NORMAL = ["NFC", "Replace", "Lowercase"]
+
+
+class LatinWords:
+    """Ids of words of ASCII and of the letters from U+00C0 to U+00FF, by merging all of them together.
+
+    Such words have no other form under the normal form of the file; an apostrophe or a less-than sign, which may
+    open a suffix or a special string, makes a word none of these. A word is cut between letters, single digits
+    and runs of other characters; the bytes of a cut are the first symbols, the last one with the mark of a word's end.
+    """
+
+    def __init__(self, spec: dict):
+        vocab, suffix = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
+        pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in spec["model"]["merges"]]
+        self.pairs = PairTable(np.array([vocab[a] for a, _ in pairs]), np.array([vocab[b] for _, b in pairs]),
+                               np.arange(len(pairs)), np.array([vocab[a + b] for a, b in pairs]))
+        self.inner, self.last = np.zeros(256, np.int32), np.zeros(256, np.int32)
+        for char, byte in byte_symbols().items():
+            self.inner[byte], self.last[byte] = vocab[char], vocab[char + suffix]
+        self.kind = np.full(256, 2, np.uint8)  # letters 0, digits 1, others 2
+        self.kind[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = 0
+        self.kind[48:58] = 1
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+        self.plain = np.zeros(256, bool)
+        self.plain[0x21:0x7F] = True
+        self.plain[[0x27, 0x3C]] = False
+
+    @staticmethod
+    def fits(spec: dict) -> bool:
+        model, steps, normal = spec["model"], spec["pre_tokenizer"].get("pretokenizers", []), spec["normalizer"] or {}
+        return (model["type"] == "BPE" and bool(model["end_of_word_suffix"]) and len(steps) == 2 and steps[1]["type"] == "ByteLevel"
+                and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"] and not model["ignore_merges"]
+                and steps[0].get("pattern", {}).get("Regex") == LATIN_RULES
+                and [n["type"] for n in normal.get("normalizers", [])] == LATIN_NORMAL)
+
+    def holds(self, words: Words, where: np.ndarray) -> np.ndarray:
+        """Which of the words are made of these characters alone."""
+        buf = words.buf
+        after = np.zeros(len(buf), bool)
+        after[1:] = buf[:-1] == 0xC3
+        good = self.plain[buf] | (buf == 0xC3) | (after & (buf >= 0x80) & (buf < 0xC0) & (buf != 0x97) & (buf != 0xB7))
+        bad = np.zeros(len(buf) + 1, np.int64)
+        np.cumsum(~good, out=bad[1:])
+        return bad[words.ends[where]] == bad[words.starts[where]]
+
+    def encode(self, words: Words, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words end to end, and the number of each."""
+        size = words.ends[where] - words.starts[where]
+        raw = words.buf[ragged(words.starts[where], size)]
+        if not len(raw):
+            return np.zeros(0, np.int32), np.zeros(len(where), np.int64)
+        second = np.zeros(len(raw), bool)
+        second[1:] = raw[:-1] == 0xC3
+        text = np.where(second & (raw >= 0x80) & (raw < 0x9F), raw + np.uint8(0x20), self.lower[raw])
+        kind = self.kind[text]
+        begin = np.ones(len(text), bool)
+        begin[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 1)
+        first = np.cumsum(size) - size
+        begin[first] = True
+        at = np.flatnonzero(begin)
+        end = np.append(at[1:], len(text)) - 1
+        symbols = self.inner[text]
+        symbols[end] = self.last[text[end]]
+        ids, n = merge(symbols, end + 1 - at, self.pairs)
+        total = np.concatenate([[0], np.cumsum(n)])
+        edge = np.append(np.searchsorted(at, first), len(at))
+        return ids, total[edge[1:]] - total[edge[:-1]]
+
+
 class IdWords:
     """A vocabulary file of the tokenizers library that drops white space, and the words seen so far."""
 
@@ -50,6 +125,7 @@ class IdWords:
         if len(mark) != 1:
             raise ValueError("the vocabulary has no id for the mark between words")
         self.mark = mark[0]
+        self.latin = LatinWords(spec) if LatinWords.fits(spec) else None
         self.table = KeyTable(CACHE_BITS)
         self.clear()
 
@@ -60,8 +136,24 @@ class IdWords:
         self.at, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
 
     def _encode(self, words: Words, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of some words end to end, and the number of each: they go to the library as one text, with a
-        control character as a word of its own between them; words that hold it go one by one."""
+        """Ids of some words end to end, and the number of each."""
+        if self.latin is None:
+            return self._by_library(words, where)
+        fast = self.latin.holds(words, where)
+        n, parts = np.zeros(len(where), np.int64), []
+        for chosen, encode in ((np.flatnonzero(fast), self.latin.encode), (np.flatnonzero(~fast), self._by_library)):
+            ids, n[chosen] = encode(words, where[chosen])
+            parts.append((chosen, ids))
+        out, first = np.empty(int(n.sum()), np.int32), np.cumsum(n) - n
+        for chosen, ids in parts:
+            out[ragged(first[chosen], n[chosen])] = ids
+        return out, n
+
+    def _by_library(self, words: Words, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """They go to the library as one text, with a control character as a word of its own between them; words
+        that hold it go one by one."""
+        if not len(where):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         size = words.ends[where] - words.starts[where]
         marked = np.zeros(len(words.buf) + 1, np.int64)
         np.cumsum(words.buf == MARK, out=marked[1:])
