@@ -1,6 +1,7 @@
 """Token counts, pieces and id files against the libraries."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np

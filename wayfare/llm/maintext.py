@@ -40,6 +40,7 @@ BLOCK = set("address article aside blockquote body caption center dd details dia
 SILENT = set("script style noscript template iframe svg math object canvas textarea audio video".split())
 OUTSIDE = set("aside button dialog footer form head header label menu nav option select title".split())
 INSIDE = {"article", "main"}
+INLINE = {"button", "label"}  # words of a sentence, where no form is open
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of a class or id, and roles, of parts that are not main text.
 HINTS = set("ad ads adv advert advertisement adverts adslot banner breadcrumb breadcrumbs comment comments consent "
@@ -73,10 +74,11 @@ _WORD = re.compile(r"\w+")
 
 
 class Block:
-    __slots__ = ("text", "links", "outside", "part", "heading", "hinted", "label")
+    __slots__ = ("text", "links", "outside", "part", "heading", "hinted", "title", "label")
 
-    def __init__(self, text: str, links: int, outside: bool, part: int, heading: bool, hinted: bool = False):
+    def __init__(self, text: str, links: int, outside: bool, part: int, heading: bool, hinted: bool = False, title: bool = False):
         self.text, self.links, self.outside, self.part, self.heading = text, links, outside, part, heading
+        self.title = title  # an h1
         self.hinted = hinted  # outside by nothing but a class or id
         self.label: bool | None = None
 
@@ -114,6 +116,7 @@ def blocks(page: str, opened: Collection[int] = ()) -> list[Block]:
     """All blocks with text, in page order; hints around the `opened` parts do not count."""
     out: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # name, outside for certain, outside by a hint, inside
+    open_: Counter[str] = Counter()  # names on the stack
     text: list[str] = []
     links = link_depth = part = 0
     heading = outside = hinted = inside = False
@@ -123,7 +126,8 @@ def blocks(page: str, opened: Collection[int] = ()) -> list[Block]:
         nonlocal links
         shown = _SPACE.sub(" ", entities.unescape("".join(text))).strip() if text else ""
         if shown:
-            out.append(Block(shown, links, outside or hinted, part if inside else 0, heading, hinted and not outside))
+            out.append(Block(shown, links, outside or hinted, part if inside else 0, heading, hinted and not outside,
+                             bool(open_["h1"])))
         text.clear()
         links = 0
 
@@ -156,20 +160,25 @@ def blocks(page: str, opened: Collection[int] = ()) -> list[Block]:
             text.append(" ")
         if name not in BLOCK and name not in OUTSIDE:
             continue
+        if name in INLINE and not open_["form"] and (name == "label" or open_["p"]):
+            continue
         close()
         if closing:
-            if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
-                    pass
+            while open_[name]:
+                top = stack.pop()[0]
+                open_[top] -= 1
+                if top == name:
+                    break
         elif name not in VOID and not raw.endswith("/"):
             if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == name:
-                stack.pop()
+                open_[stack.pop()[0]] -= 1
             if name in INSIDE and not inside:
                 part += 1
             _, firm, hint, within = stack[-1] if stack else ("", False, False, False)
             if name == "main" or (name in INSIDE and not within and part in opened):
                 hint = False
             own = _hidden_part(name, raw, within)
+            open_[name] += 1
             stack.append((name, firm or own[0], hint or own[1], within or name in INSIDE))
         link_depth = 0 if name != "a" else link_depth
         _, outside, hinted, inside = stack[-1] if stack else ("", False, False, False)
@@ -200,10 +209,16 @@ def label(found: list[Block]) -> None:
     """Both passes: sets the label of every block."""
     framed = any(b.part and not b.outside for b in found)
     covered = framed or _covered(found)
-    for b in found:
+    dense = [b.links > 0.5 * len(b.text) for b in found]
+    for i, b in enumerate(found):
         n = len(b.text)
         density = b.links / n
-        if b.outside or density > 0.5 or b.text.startswith(("©", "(c) ", "Copyright ")) or (framed and not b.part):
+        if b.outside or (framed and not b.part):
+            b.label = False
+        elif b.part and dense[i]:  # a link list, not a sentence that is a link
+            beside = [j for j in (i - 1, i + 1) if 0 <= j < len(found) and found[j].part == b.part and not found[j].outside]
+            b.label = False if any(dense[j] for j in beside) else None
+        elif not b.part and (dense[i] or b.text.startswith(("©", "(c) ", "Copyright "))):
             b.label = False
         elif density > LINKS and not b.part:
             b.label = False
@@ -218,6 +233,9 @@ def label(found: list[Block]) -> None:
                 b.label = None
     for part in {b.part for b in found}:
         _inherit([b for b in found if b.part == part and not b.outside])
+    for b, after in zip(found, found[1:]):  # the title of an article that begins behind it
+        if b.title and not b.outside and not b.part and after.part and not after.outside and framed:
+            b.label = True
 
 
 def _inherit(found: list[Block]) -> None:

@@ -160,7 +160,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str =
     chosen = labels.where(~held_out(id_column)).where(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()) \
         .select(F.col(id_column).alias("_id"), F.col(label_column).cast("double").alias("_label")) \
         .orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.join(F.broadcast(chosen), F.col(id_column) == F.col("_id")).select("_id", "_label", F.col(text_column).cast("string"))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")) \
+        .join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("_id", "_label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
