@@ -44,6 +44,32 @@ def test_ranks_of_endless_and_huge_values(spark, values):
     assert [r.v for r in sorted(got, key=lambda r: r.k)] == sorted(values)
 
 
+def test_columns_and_strata_in_the_same_passes(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("pq"), rnd.choice([0.0, -0.0, 1.5, rnd.gauss(0, 1e-300), rnd.gauss(0, 1e9)]), rnd.choice([None, math.nan, rnd.random()]))
+            for _ in range(700)]
+    df = spark.createDataFrame(rows, "g string, a double, b double").repartition(3)
+    got = ordering.column_quantiles(df, {"a": F.col("a"), "b": F.col("b"), "none": F.lit(None).cast("double")}, [0.0, 0.3, 0.5, 1.0])
+    clean = {"a": [r[1] for r in rows], "b": [r[2] for r in rows if r[2] is not None and r[2] == r[2]]}
+    assert len(got) == 8
+    for c, p, v in got:
+        assert v == pytest.approx(np.quantile(clean[c], p), rel=1e-12)
+    ranks = ordering.radix_ranks(df, {"a": F.col("a"), "b": F.col("b")}, lambda n: range(1, n + 1, 7), F.col("g"), ["p", "q", "absent"])
+    for r in ranks:
+        part = sorted(x for g, a, b in rows for x in [a if r.stratum[0] == "a" else b] if g == r.stratum[1] and x is not None and x == x)
+        assert r.v == part[r.k - 1] and r.n == len(part)
+
+
+def test_passes_do_not_depend_on_the_values(spark, monkeypatch):
+    """Five counting passes, one count of rows."""
+    jobs = []
+    locate = ordering._locator
+    monkeypatch.setattr(ordering, "_locator", lambda asked: jobs.append(len(asked)) or locate(asked))
+    df = spark.createDataFrame([(float(f"{m}e{e}"),) for m in (1, -3) for e in range(-300, 300, 37)], "v double")
+    ordering.column_quantiles(df, {"v": F.col("v")}, [0.1, 0.5, 0.9])
+    assert len(jobs) == 5
+
+
 @pytest.mark.parametrize("n, p", [(7, 0.3), (100, 0.5), (101, 0.5), (5000, 0.02), (50, 0.0), (50, 1.0), (0, 0.5)])
 def test_binomial_draws_invert_the_distribution(n, p):
     u = np.linspace(0.0005, 0.9995, 1000)

@@ -1,21 +1,29 @@
 """Order statistics without a global sort.
 
 A plain ``percentile`` or an unpartitioned window gathers a whole column in one task. Here
-the range that holds a wanted rank is cut into cells, the cells are counted, and the search
-goes on inside the one cell that holds the rank, until a single value is left. Every pass is
-a partial aggregate over at most CELLS cells per range, so neither a value shared by a third
-of all rows nor a huge column ever meets in one task.
+ranks are found by counting, so neither a value shared by a third of all rows nor a huge column
+ever meets in one task:
+
+* Doubles are mapped to 64-bit numbers of the same order, whose digits of at most 13 bits are
+  counted from the left: five passes whatever the values, for all columns and strata together
+  (`radix_ranks`). From the second pass on only rows that share a wanted prefix are read.
+* Whole numbers, such as hashes: the range that holds a wanted rank is cut into cells, the cells
+  are counted, and the search goes on inside the one cell that holds the rank, until a single
+  value is left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 CELLS = 1024
+DIGITS = (13, 13, 13, 13, 12)  # bits of each pass
 
 
 def small_values(df: DataFrame, col: str, limit: int = 1000) -> list:
@@ -45,6 +53,10 @@ def order_statistics(df: DataFrame, value: Column, ranks: Callable[[int], Sequen
     strata x ranks x CELLS counts, and what is broadcast by strata x ranks ranges. A known
     `span` of the values saves the pass that looks for their extremes.
     """
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        found = radix_ranks(df, {"v": value}, ranks, stratum, strata)
+        return [Ranked(r.stratum[1], r.n, r.k, r.v) for r in found]
     rows = df.select((F.lit(0) if stratum is None else stratum).alias("s"), value.alias("v"))
     rows = rows.where(F.col("v").isNotNull())
     if stratum is not None:
@@ -84,25 +96,15 @@ def _inside(rows: DataFrame, ranges: list[tuple]) -> DataFrame:
     return rows.join(F.broadcast(table), "s").where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
 
 
-def _cell(floating: bool) -> Column:
-    """The cell of a row. The ends of a range always fall into different cells, so every pass shrinks it.
-
-    Halves keep the width of a floating range finite; where an end is infinite, the finite values between
-    share one cell, and the next pass has finite ends.
-    """
-    v, lo, hi = (F.col(c) / 2 if floating else F.col(c) for c in ("v", "lo", "hi"))
-    cell = F.least(F.floor((v - lo).cast("double") / (hi - lo).cast("double") * CELLS), F.lit(CELLS - 1))
-    if not floating:
-        return cell
-    endless = (F.abs("lo") == float("inf")) | (F.abs("hi") == float("inf"))
-    between = F.when(F.col("v") == F.col("lo"), 0).when(F.col("v") == F.col("hi"), CELLS - 1).otherwise(CELLS // 2)
-    return F.when(endless, between.cast("long")).otherwise(cell)
+def _cell() -> Column:
+    """The cell of a row. The ends of a range always fall into different cells, so every pass shrinks it."""
+    v, lo, hi = (F.col(c) for c in ("v", "lo", "hi"))
+    return F.least(F.floor((v - lo).cast("double") / (hi - lo).cast("double") * CELLS), F.lit(CELLS - 1))
 
 
 def _count_cells(inside: DataFrame) -> dict:
     """{range: [(rows, least, greatest), ...] in cell order}."""
-    cell = _cell(isinstance(inside.schema["v"].dataType, (T.DoubleType, T.FloatType)))
-    counts = inside.groupBy("s", "lo", "hi", cell.alias("c")).agg(
+    counts = inside.groupBy("s", "lo", "hi", _cell().alias("c")).agg(
         F.count("*").alias("w"), F.min("v").alias("least"), F.max("v").alias("greatest"))
     out: dict = {}
     for r in sorted(counts.collect(), key=lambda r: r["c"]):
@@ -119,27 +121,163 @@ def _locate(cells: list[tuple], k: int, below: int) -> tuple:
     raise AssertionError("rank beyond the counted rows")
 
 
-def quantiles(df: DataFrame, value: Column, probs: Sequence[float], stratum: Column | None = None,
-              strata: Sequence | None = None) -> list[tuple]:
-    """Exact, linearly interpolated quantiles: [(stratum, p, value), ...]."""
-    def spots(n: int, p: float) -> tuple[int, int, float]:
-        pos = (n - 1) * p
-        low = int(pos)
-        return low + 1, min(low + 2, n), pos - low
+# ---- doubles ------------------------------------------------------------------------------
+
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of the doubles; minus zero is zero."""
+    bits = (np.asarray(values, np.float64) + 0.0).view(np.int64)
+    return np.where(bits < 0, ~bits, bits ^ np.int64(-(1 << 63))).view(np.uint64)
+
+
+def double_of(bits: int) -> float:
+    raw = bits - (1 << 63) if bits >> 63 else ~bits
+    return float(np.array([raw], np.int64).view(np.float64)[0])
+
+
+class _Wanted:
+    """Slots (column, stratum, prefix), looked up by whole arrays."""
+
+    def __init__(self, slots: Sequence[tuple[int, int, int]], strata: int, left: int):
+        self.left, self.columns = left, {}  # `left`: bits not known yet
+        for i in {c for c, _, _ in slots}:
+            known = sorted({p for c, _, p in slots if c == i})
+            grid = np.full((len(known) + 1, strata), -1)
+            for slot, (c, s, p) in enumerate(slots):
+                if c == i:
+                    grid[known.index(p), s] = slot
+            self.columns[i] = (np.array(known, np.uint64), grid)
+
+    def slot(self, column: int, bits: np.ndarray, stratum: np.ndarray) -> np.ndarray:
+        if column not in self.columns:
+            return np.full(len(bits), -1)
+        known, grid = self.columns[column]
+        prefix = np.zeros(len(bits), np.uint64) if self.left >= 64 else bits >> np.uint64(self.left)
+        at = np.searchsorted(known, prefix)
+        at = np.where((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == prefix), at, len(known))
+        return grid[at, stratum]
+
+
+def radix_ranks(df: DataFrame, values: dict[str, Column], ranks: Callable[[int], Sequence[int]],
+                stratum: Column | None = None, strata: Sequence | None = None) -> list[Ranked]:
+    """Exact values at the 1-based `ranks(n)` of every (column, stratum); nulls and NaN are left out.
+
+    The `stratum` of a result is (column name, stratum). What the driver sees is a few numbers per rank and pass.
+    """
+    names, strata = list(values), [0] if stratum is None else list(strata)
+    place = F.lit(0) if stratum is None else F.array_position(F.array(*[F.lit(s) for s in strata]), stratum).cast("int") - 1
+    clean = [F.when(~F.isnan(c.cast("double")), c.cast("double")).alias(f"v{i}") for i, c in enumerate(values.values())]
+    rows = df.select(place.alias("s"), *clean).where("s >= 0")
+    size = {(i, r["s"]): r[f"n{i}"] for r in rows.groupBy("s").agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in range(len(names))]).collect() for i in range(len(names))}
+    found = {(i, s, k): (0, 0) for (i, s), n in size.items() for k in set(ranks(n)) if 1 <= k <= n}  # -> (prefix, rows below)
+    left, kept = 64, None
+
+    def wide(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            s = batch.column(0).to_numpy()
+            for i in range(len(names)):
+                v = batch.column(i + 1)
+                there = v.is_valid().to_numpy(zero_copy_only=False)
+                yield i, ordered_bits(v.to_numpy(zero_copy_only=False)[there]), s[there]
+
+    def long(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            c, s, b = (batch.column(k).to_numpy() for k in range(3))
+            for i in np.unique(c).tolist():
+                yield i, b[c == i].view(np.uint64), s[c == i]
+
+    try:
+        for number, width in enumerate(DIGITS):
+            slots = sorted({(i, s, p) for (i, s, _), (p, _) in found.items()})
+            if not slots:
+                break
+            wanted, cells = _Wanted(slots, len(strata), left), 1 << width
+            if number == 1:
+                kept = rows.mapInArrow(_keeper(wanted, wide), "c int, s int, b long").persist(StorageLevel.DISK_ONLY)
+            source, read = (rows, wide) if kept is None else (kept, long)
+            counts = source.mapInArrow(_counter(wanted, read, len(slots), cells, left - width), "slot int, digit int, n long") \
+                .groupBy("slot", "digit").agg(F.sum("n").alias("n"))
+            asked = {m: [(k, found[i, s, k][1]) for (j, t, k), (q, _) in found.items() if (j, t, q) == (i, s, p)]
+                     for m, (i, s, p) in enumerate(slots)}
+            got = counts.groupBy("slot").applyInArrow(_locator(asked), "slot int, k long, digit int, below long").collect()
+            found = {(*slots[r["slot"]][:2], r["k"]): (slots[r["slot"]][2] << width | r["digit"], r["below"]) for r in got}
+            left -= width
+    finally:
+        if kept is not None:
+            kept.unpersist()
+    return [Ranked((names[i], strata[s]), size[i, s], k, double_of(p)) for (i, s, k), (p, _) in found.items()]
+
+
+def _keeper(wanted: _Wanted, read: Callable) -> Callable:
+    """(column, stratum, bits) of the rows in a wanted slot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, bits, s in read(batches):
+            hit = wanted.slot(i, bits, s) >= 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(int(hit.sum()), i, np.int32)), pa.array(s[hit].astype(np.int32)),
+                                              pa.array(bits[hit].view(np.int64))], names=["c", "s", "b"])
+    return run
+
+
+def _counter(wanted: _Wanted, read: Callable, slots: int, cells: int, shift: int) -> Callable:
+    """Rows per (slot, next digit), added up in the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i, bits, s in read(batches):
+            slot = wanted.slot(i, bits, s)
+            hit = slot >= 0
+            digit = (bits[hit] >> np.uint64(shift)).astype(np.int64) & (cells - 1)
+            new, n = np.unique(slot[hit] * cells + digit, return_counts=True)
+            keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            sizes = np.bincount(back, np.concatenate([sizes, n]), len(keys)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array((keys // cells).astype(np.int32)), pa.array((keys % cells).astype(np.int32)), pa.array(sizes)],
+                                         names=["slot", "digit", "n"])
+    return run
+
+
+def _locator(asked: dict[int, list[tuple[int, int]]]) -> Callable:
+    """The digit that holds each asked rank of a slot, and the rows below it."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("digit")
+        slot, digit, n = table.column("slot")[0].as_py(), table.column("digit").to_numpy(), table.column("n").to_numpy()
+        upto = np.cumsum(n)
+        k, below = (np.array(x, np.int64) for x in zip(*asked[slot]))
+        at = np.searchsorted(upto, k - below)
+        return pa.table({"slot": pa.array(np.full(len(k), slot, np.int32)), "k": k, "digit": pa.array(digit[at].astype(np.int32)),
+                         "below": below + (upto - n)[at]})
+    return run
 
-    clean = F.when(F.isnan(value.cast("double")), None).otherwise(value.cast("double"))
-    found = order_statistics(df, clean, lambda n: [k for p in probs for k in spots(n, p)[:2]], stratum, strata)
+
+def _interpolated(found: list[Ranked], probs: Sequence[float]) -> list[tuple]:
     at = {(f.stratum, f.k): f.v for f in found}
     out = []
-    for s, n in {(f.stratum, f.n) for f in found}:
+    for s, n in sorted({(f.stratum, f.n) for f in found}, key=str):
         for p in probs:
-            low, high, part = spots(n, p)
-            a, b = at[(s, low)], at[(s, high)]
+            low, high, part = _spots(n, p)
+            a, b = at[s, low], at[s, high]
             out.append((s, p, a if a == b or not part else a * (1 - part) + b * part if abs(b - a) == float("inf")
                         else a + (b - a) * part))
     return out
 
 
+def _spots(n: int, p: float) -> tuple[int, int, float]:
+    pos = (n - 1) * p
+    low = int(pos)
+    return low + 1, min(low + 2, n), pos - low
+
+
+def column_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[float]) -> list[tuple]:
+    """Exact, linearly interpolated quantiles of several columns in the same passes: [(column, p, value), ...]."""
+    found = radix_ranks(df, values, lambda n: [k for p in probs for k in _spots(n, p)[:2]])
+    return [(s[0], p, v) for s, p, v in _interpolated(found, probs)]
+
+
+def quantiles(df: DataFrame, value: Column, probs: Sequence[float], stratum: Column | None = None,
+              strata: Sequence | None = None) -> list[tuple]:
+    """Exact, linearly interpolated quantiles: [(stratum, p, value), ...]."""
+    found = radix_ranks(df, {"v": value}, lambda n: [k for p in probs for k in _spots(n, p)[:2]], stratum, strata)
+    return [(s[1], p, v) for s, p, v in _interpolated(found, probs)]
+
+
 def running_counts(df: DataFrame, value: Column, weights: dict[str, Column], pieces: int = 256) -> DataFrame:
     """Per distinct value: its weights and the running totals of the weights below it.
 

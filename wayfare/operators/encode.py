@@ -13,8 +13,8 @@ from pyspark.ml.feature import (
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wayfare.functions.columns import ngrams_of_word, unpivot, words
-from wayfare.functions.ordering import quantiles
+from wayfare.functions.columns import ngrams_of_word, words
+from wayfare.functions.ordering import column_quantiles
 
 MAX_VOCABULARY = 1 << 22
 
@@ -27,21 +27,14 @@ def _bt(name: str) -> Column:
 
 def fit_numeric(df: DataFrame, num: Sequence[str], scale: bool = True) -> dict[str, tuple]:
     """{column: (median, mean, population std)} of the imputed column; one row per feature."""
-    long = unpivot(df, [], "feature", {c: {"v": _bt(c).cast("double")} for c in num})
-    median = {f: v for f, _, v in quantiles(long, F.col("v"), [0.5], F.col("feature"), list(num))}
-    if not scale:
+    values = {c: _bt(c).cast("double") for c in num}
+    median = {c: v for c, _, v in column_quantiles(df, values, [0.5])}
+    if not scale or not num:
         return {c: (median.get(c, 0.0), 0.0, 1.0) for c in num}
-    filled = F.coalesce(F.col("v"), _lookup(median))
-    rows = long.groupBy("feature").agg(F.avg(filled).alias("m"), F.stddev_pop(filled).alias("s")).collect()
-    stat = {r["feature"]: (r["m"], r["s"] or 1.0) for r in rows}  # a constant column is only centred
-    return {c: (median.get(c, 0.0), *stat.get(c, (0.0, 1.0))) for c in num}
-
-
-def _lookup(values: dict[str, float]) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("double"))
-    for name, value in values.items():
-        out = out.when(F.col("feature") == name, F.lit(value))
-    return out
+    filled = [F.coalesce(v, F.lit(median.get(c)).cast("double")) for c, v in values.items()]
+    row = df.agg(*[f(v).alias(f"{k}_{i}") for i, v in enumerate(filled) for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    # a constant column is only centred
+    return {c: (median.get(c, 0.0), row[f"m_{i}"] if row[f"m_{i}"] is not None else 0.0, row[f"s_{i}"] or 1.0) for i, c in enumerate(num)}
 
 
 def apply_numeric(df: DataFrame, stats: dict[str, tuple], prefix: str = "_n_") -> DataFrame:

@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfare.functions.columns import half_up, pearson, ratio, share, unpivot
-from wayfare.functions.ordering import quantiles
+from wayfare.functions.ordering import column_quantiles
 from wayfare.operators.entities import age_band
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -64,13 +64,12 @@ def cardinality(df: DataFrame, table: str, samples: int = 6) -> DataFrame:
 
 def numeric_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column; the quartiles are exact."""
-    cells = {c: {"value": _bt(c).cast("double")} for c in columns}
-    long = unpivot(df.select(*columns), [], "column", cells)
-    base = long.groupBy("column").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    values = {c: _bt(c).cast("double") for c in columns}
+    stats = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = df.agg(*[f(v).alias(f"{k}_{i}") for i, v in enumerate(values.values()) for k, f in stats.items()])
+    base = unpivot(wide, [], "column", {c: {k: F.col(f"{k}_{i}") for k in stats} for i, c in enumerate(columns)})
     at: dict = {}
-    for column, p, value in quantiles(long, F.col("value"), QUARTILES, F.col("column"), list(columns)):
+    for column, p, value in column_quantiles(df, values, QUARTILES):
         at.setdefault(column, {})[p] = value
     rows = [(c, *[at[c][p] for p in QUARTILES]) for c in at]
     q = df.sparkSession.createDataFrame(rows, "column string, p25 double, p50 double, p75 double")
@@ -290,10 +289,8 @@ def rfm_base(udf: DataFrame) -> DataFrame:
 
 
 def rfm_medians(udf: DataFrame) -> DataFrame:
-    cells = {"n_trips": {"value": F.col("n_trips").cast("double")},
-             "recency_days": {"value": F.col("recency_days").cast("double")}}
-    long = unpivot(udf.na.drop(subset=["n_trips"]), [], "metric", cells)
-    rows = [(m, v) for m, _, v in quantiles(long, F.col("value"), [0.5], F.col("metric"), list(cells))]
+    values = {c: F.col(c).cast("double") for c in ("n_trips", "recency_days")}
+    rows = [(m, v) for m, _, v in column_quantiles(udf.na.drop(subset=["n_trips"]), values, [0.5])]
     return udf.sparkSession.createDataFrame(rows, "metric string, median double")
 
 

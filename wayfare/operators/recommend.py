@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -194,7 +194,10 @@ def matrix_density(pairs: DataFrame) -> DataFrame:
         "density", ratio(F.col("n_pairs"), F.col("n_users") * F.col("n_hotels")))
 
 
-def interaction_matrix(pairs: DataFrame) -> DataFrame:
-    """The user x item table with zeros, for display; the pairs themselves stay long. The items are looked up
-    first, and Spark refuses more of them than spark.sql.pivotMaxValues."""
-    return pairs.groupBy("user").pivot("hotel").agg(F.sum("bookings")).na.fill(0)
+def interaction_matrix(pairs: DataFrame, items: Sequence[str] | None = None) -> DataFrame:
+    """The user x item table with zeros, for display; the pairs themselves stay long.
+
+    `items` names the columns, also those that no one has booked. Without it the items are looked up first, and Spark
+    refuses more of them than spark.sql.pivotMaxValues; a table of more columns than that is read by no one."""
+    wide = pairs.groupBy("user").pivot("hotel") if items is None else pairs.groupBy("user").pivot("hotel", list(items))
+    return wide.agg(F.sum("bookings")).na.fill(0)

@@ -74,6 +74,17 @@ def reference_rows(ref: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def save_frames(frames: dict[str, DataFrame], path: str) -> str:
+    """Write the frames of an artifact side by side."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    return path
+
+
+def load_frames(spark: SparkSession, path: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+
+
 def _missing(fields: Sequence[str]) -> Column:
     """The names of the absent or empty fields, as an array."""
     return F.filter(F.array(*[F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) == "", F.lit(f)) for f in fields]),

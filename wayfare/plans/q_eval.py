@@ -430,6 +430,13 @@ def grid_search(spark, sf):
     return tune.tune_price(legs, {m: tune.PRICE_GRIDS[m] for m in ("ridge", "decision_tree", "gbt")})
 
 
+@query("default_baseline")
+def default_baseline(spark, sf):
+    """The untuned families on the same folds as the searches."""
+    legs = _saved(spark, Frames(spark, sf).legs, "legs")
+    return tune.default_baseline(legs, models.PRICE_MODELS)
+
+
 @query("random_search")
 def random_search(spark, sf):
     """Seeded draws of the one larger grid against the default on the same folds."""

@@ -129,11 +129,13 @@ def matrix_density(spark, sf):
     return rec.matrix_density(Frames(spark, sf).pairs)
 
 
-@query("interaction_matrix", with_(HOTELS, PAIRS) + """
-SELECT * FROM (
-  PIVOT (SELECT "user", hotel, bookings FROM pairs) ON hotel USING CAST(coalesce(sum(bookings), 0) AS BIGINT) GROUP BY "user")""")
+BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]  # the items of the order tables
+
+
+@query("interaction_matrix", with_(HOTELS, PAIRS) + "SELECT \"user\", " + ", ".join(
+    f"CAST(coalesce(sum(bookings) FILTER (WHERE hotel = '{b}'), 0) AS BIGINT) AS \"{b}\"" for b in BRANDS) + " FROM pairs GROUP BY 1")
 def interaction_matrix(spark, sf):
-    return rec.interaction_matrix(Frames(spark, sf).pairs)
+    return rec.interaction_matrix(Frames(spark, sf).pairs, BRANDS)
 
 
 # ---- scoring -----------------------------------------------------------------------------

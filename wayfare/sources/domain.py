@@ -115,6 +115,13 @@ def order_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream."""
+    schema = table(spark, sf_dir, "events").schema
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Scoring requests: one per order. Some lack an origin, a date or a valid destination."""
     orders = table(spark, sf_dir, "orders") if orders is None else orders
