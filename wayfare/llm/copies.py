@@ -3,8 +3,8 @@
 A group holds texts of one length that agree in all bytes read so far. Each level splits every group by its next
 bytes (the digit); a text that is alone leaves, and a group whose bytes are used up is a class of equal texts.
 
-1. Inside an Arrow batch the same recursion runs over arrays (`radix_leaders`). Equal texts of a batch get one
-   leader, and only leaders travel on, so a group with a third of all rows sends one text per batch. The members,
+1. Inside a slice of a task's rows the same recursion runs over arrays (`radix_leaders`). Equal texts of a slice get
+   one leader, and only leaders travel on, so a group with a third of all rows sends one text per slice. The members,
    their leaders and what the leaders' texts hold beyond the first digit are written once.
 2. Level 0 splits the leaders by length and first `HEAD` bytes: one aggregate over short keys. Most texts are
    alone after it and are never moved.
@@ -37,6 +37,7 @@ from wayfare.llm.graph import keep
 from wayfare.llm.words import ragged, slices
 
 HEAD = 32
+SLICE = 1 << 23        # bytes of text that are compared in a task at once
 DIGIT, GROWTH = 2048, 16
 LOCAL_CELLS = 1 << 24  # bytes of a local digit matrix
 PARTITION_BITS = 34    # row numbers of a task
@@ -71,7 +72,7 @@ def radix_leaders(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _members(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row per document: row number, id, its leader in the batch, the leader's number of rows and last row
+    """One row per document: row number, id, its leader in the slice, the leader's number of rows and last row
     with its id, and for leaders also length, first digit, the other bytes and the SHA-256 of the text."""
     kind = docs.schema[id_column].dataType.simpleString()
     fields = (f"row long, id {kind}, lead long, n long, top_id {kind}, top_row long, n_bytes long, head binary, "
@@ -80,29 +81,28 @@ def _members(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << PARTITION_BITS
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            ids = batch.column(0)
-            rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="first").to_numpy().astype(np.int64)
-            (_, buf, offsets), = slices(batch.column(1), most=1 << 62)
-            leader = radix_leaders(buf, offsets)
-            lead = np.flatnonzero(leader == np.arange(n))
-            count = np.bincount(leader, minlength=n)
-            by_rank = np.argsort(rank)
-            top = np.zeros(n, np.int64)
-            top[leader[by_rank]] = by_rank  # the last one written has the highest rank
-            top = top[leader]
-            texts = {int(i): buf[offsets[i]:offsets[i + 1]].tobytes() for i in lead}
-            own = [texts.get(i) for i in range(n)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row + np.arange(n)), ids, pa.array(row + leader), pa.array(count[leader]), ids.take(pa.array(top)),
-                 pa.array(row + top), pa.array([None if t is None else len(t) for t in own], pa.int64()),
-                 pa.array([None if t is None else t[:HEAD] for t in own], pa.binary()),
-                 pa.array([None if t is None else t[HEAD:] for t in own], pa.binary()),
-                 pa.array([hashlib.sha256(texts[int(i)]).digest() for i in leader], pa.binary())],
-                names=[f.split()[0] for f in fields.split(", ")])
-            row += n
+            for first, buf, offsets in slices(batch.column(1), most=SLICE):
+                n = len(offsets) - 1
+                ids = batch.column(0).slice(first, n)
+                rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="first").to_numpy()
+                leader = radix_leaders(buf, offsets)
+                own = leader == np.arange(n)
+                count = np.bincount(leader, minlength=n)
+                by_rank = np.argsort(rank)
+                top = np.zeros(n, np.int64)
+                top[leader[by_rank]] = by_rank  # the last one written has the highest rank
+                top = top[leader]
+                raw, edge = memoryview(buf), offsets.tolist()
+                shas = [hashlib.sha256(raw[edge[i]:edge[i + 1]]).digest() if o else b"" for i, o in enumerate(own.tolist())]
+                cut = [min(edge[i] + HEAD, edge[i + 1]) for i in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(n)), ids, pa.array(row + leader), pa.array(count[leader]), ids.take(pa.array(top)),
+                     pa.array(row + top), pa.array(np.diff(offsets), mask=~own),
+                     pa.array([bytes(raw[edge[i]:cut[i]]) if o else None for i, o in enumerate(own.tolist())], pa.binary()),
+                     pa.array([bytes(raw[cut[i]:edge[i + 1]]) if o else None for i, o in enumerate(own.tolist())], pa.binary()),
+                     pa.array([shas[i] for i in leader.tolist()], pa.binary())],
+                    names=[f.split()[0] for f in fields.split(", ")])
+                row += n
 
     return docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")) \
         .mapInArrow(run, fields)
@@ -115,7 +115,7 @@ def _split(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _classes(spark: SparkSession, members: DataFrame) -> DataFrame:
-    """row and root: leaders equal to a leader of another batch, with the least row of their class."""
+    """row and root: leaders equal to a leader of another slice, with the least row of their class."""
     leaders = members.where(F.col("head").isNotNull())
     found = keep(spark, _split(leaders.select("row", "n_bytes", "head"), ["n_bytes", "head"])
                  .select("row", "n_bytes", "label"), "copies-head")
@@ -144,7 +144,7 @@ def equal_texts(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     leads = members.where(F.col("head").isNotNull()).select("row", "n", "top_id", "top_row")
     top = F.max(F.struct("top_id", "top_row"))
     groups = roots.join(leads, "row").groupBy("root").agg(F.sum("n").alias("size"), top.alias("top"))
-    # a leader's class is joined to its members by the leader's row: no key has more rows than a batch
+    # a leader's class is joined to its members by the leader's row: no key has more rows than a slice
     classes = roots.join(groups, "root").select(F.col("row").alias("lead"), "size", "top")
     out = members.select("row", "id", "lead", "n", "top_id", "top_row", "sha").join(classes, "lead", "left")
     met = F.col("size").isNotNull()
