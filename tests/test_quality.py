@@ -113,3 +113,15 @@ def test_csv_files(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="name the format"):
         io.load_processed(spark, out, "trips")
     assert io.read_table(spark, out, "trips", fmt="csv").count() == 1
+
+
+def test_copies_are_exact_under_colliding_fingerprints(spark):
+    from pyspark.sql import functions as F
+
+    from wayfare.operators import quality
+
+    rows = [(1, "a", None), (1, None, "a"), (1, "a", None), (2, "b", "c"), (2, "b", "c"), (2, "b", "c"), (None, None, None), (None, None, None), (3, "", "")]
+    df = spark.createDataFrame(rows, "x int, y string, `z z` string").repartition(3)
+    for fingerprint in (quality._fingerprint, lambda d: [F.lit(1).alias("_f1")], lambda d: [(F.coalesce("x", F.lit(0)) % 2).alias("_f1")]):
+        assert quality.extra_copies(df, fingerprint).first()["k"] == 4
+    assert quality.extra_copies(df.where("x = 3")).first()["k"] == 0 == quality.extra_copies(df.where("x = 99")).first()["k"]

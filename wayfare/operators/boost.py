@@ -397,13 +397,15 @@ class Growth:
 
     def _chosen(self, t: int) -> list[int]:
         """Nodes of a tree that best-first growth splits, as far as gains are known."""
-        heap, out = [(-self.stat.gain[t], t)] if self.stat.gain[t] > 0 else [], []
+        gain, left, right = self.stat.gain.tolist(), self.left.tolist(), self.right.tolist()
+        known = len(gain)
+        heap, out = [(-gain[t], t)] if gain[t] > 0 else [], []
         while heap and len(out) < self.spec.leaves - 1:
             _, i = heapq.heappop(heap)
             out.append(i)
-            for child in (self.left[i], self.right[i]):
-                if 0 <= child < len(self.stat.gain) and self.stat.gain[child] > 0:
-                    heapq.heappush(heap, (-self.stat.gain[child], child))
+            for child in (left[i], right[i]):
+                if 0 <= child < known and gain[child] > 0:
+                    heapq.heappush(heap, (-gain[child], child))
         return out
 
     def nodes(self, scale: float, unit: float) -> tuple[Nodes, np.ndarray]:
@@ -413,14 +415,11 @@ class Growth:
             split = np.zeros(len(left), bool)
             split[[i for t in range(self.trees) for i in self._chosen(t)]] = True
             left[~split] = right[~split] = -1
-        own = np.arange(len(left))
-        for i in np.flatnonzero(self.left >= 0):  # parents come before their children
-            if left[i] < 0:
-                own[self.left[i]] = own[self.right[i]] = own[i]
-            # a cut-off child hands its rows up
-        for i in np.flatnonzero(self.left >= 0):
-            if own[i] != i:
-                own[self.left[i]] = own[self.right[i]] = own[i]
+        own, final = list(range(len(left))), left.tolist()
+        for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist())):  # parents come before their children
+            if a >= 0 and (final[i] < 0 or own[i] != i):  # a cut-off child hands its rows up
+                own[a] = own[b] = own[i]
+        own = np.array(own)
         stay = np.flatnonzero(own == np.arange(len(left)))
         place = np.full(len(left), -1)
         place[stay] = np.arange(len(stay))

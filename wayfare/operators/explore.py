@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from wayfare.functions.columns import half_up, pearson, ratio, share, unpivot
 from wayfare.functions.ordering import column_quantiles
 from wayfare.operators.entities import age_band
+from wayfare.operators.quality import extra_copies
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -29,14 +30,13 @@ def shape_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def dup_null_audit(tables: dict[str, DataFrame]) -> DataFrame:
-    """Full-row duplicates and null cells per table, both from the grouped rows."""
+    """Full-row duplicates and null cells per table."""
     parts = []
     for name, df in tables.items():
-        groups = df.groupBy(*[_bt(c) for c in df.columns]).agg(F.count("*").alias("_n"))
         empties = reduce(Column.__add__, [_bt(c).isNull().cast("long") for c in df.columns])
-        parts.append(groups.agg(F.lit(name).alias("table"),
-                                F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"),
-                                F.coalesce(F.sum(empties * F.col("_n")), F.lit(0)).alias("n_null_cells")))
+        nulls = df.agg(F.coalesce(F.sum(empties), F.lit(0)).alias("n"))
+        parts.append(extra_copies(df).select(F.lit(name).alias("table"), F.col("k").alias("n_duplicates"),
+                                             nulls.scalar().alias("n_null_cells")))
     return _union(parts)
 
 

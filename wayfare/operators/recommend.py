@@ -15,6 +15,7 @@ from wayfare.operators.metrics import settle
 TOP_K = 3
 MAX_K = 9  # the most a served request may ask for
 SCORE_DIGITS = 9  # scores are compared after rounding, so equal affinities tie everywhere
+TILE = 2048  # items of a user that are handled as one list
 PAIR_CELLS = 2_000_000  # item products that a task holds at a time
 
 
@@ -42,18 +43,30 @@ def _top(pairs: DataFrame, k: int) -> Column:
     return best.select(F.transform("a", lambda s: s["hotel"])).scalar()
 
 
-def _vectors(history: DataFrame) -> DataFrame:
-    """One row per user: items and weights, at most one entry per item; a user's items are one row anyway
-    when the user is served."""
-    entry = F.struct("hotel", F.col("bookings").cast("double").alias("w"))
-    return (history.groupBy("user").agg(F.collect_list(entry).alias("e"))
-            .select(F.col("e.hotel").alias("hotel"), F.col("e.w").alias("w")))
-
+def _tiles(history: DataFrame, tile: int) -> DataFrame:
+    """Pairs of item lists (a, wa, b, wb) whose products make up the matrix: one row per user, b null for a itself.
 
-def item_dots(history: DataFrame) -> DataFrame:
+    A user with more than `tile` items is cut into blocks by a hash of the item, and every pair of its blocks is a row
+    of its own, dealt out over all tasks; so no row has more than about `tile` squared products."""
+    entry = F.struct("hotel", F.col("bookings").cast("double").alias("w"))
+    heavy = history.groupBy("user").agg(F.count("*").alias("n")).where(F.col("n") > tile) \
+        .select("user", F.ceil(F.col("n") / tile).cast("int").alias("blocks"))
+    cut = history.join(heavy, "user", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("hotel"), F.col("blocks")), F.lit(0)))
+    rows = cut.groupBy("user", "block").agg(F.collect_list(entry).alias("e"), F.max("blocks").alias("blocks"))
+    none = F.lit(None)
+    light = rows.where("blocks is null").select(F.col("e.hotel").alias("a"), F.col("e.w").alias("wa"),
+                                                none.cast("array<string>").alias("b"), none.cast("array<double>").alias("wb"))
+    tiles = rows.where("blocks is not null").select("user", "block", "e")
+    other = tiles.select("user", F.col("block").alias("beside"), F.col("e").alias("f"))
+    pairs = tiles.join(other, "user").repartition("user", "block", "beside").select(
+        F.col("e.hotel").alias("a"), F.col("e.w").alias("wa"), F.col("f.hotel").alias("b"), F.col("f.w").alias("wb"))
+    return light.unionByName(pairs)
+
+
+def item_dots(history: DataFrame, tile: int = TILE) -> DataFrame:
     """Dot products of the item columns of the user x item matrix: (a, b, dot) where two items share a user.
 
-    Each task adds the products of its users' items up by item pair, PAIR_CELLS products at a time, before
+    Each task adds the products of its rows of `_tiles` up by item pair, PAIR_CELLS products at a time, before
     anything is shuffled; the partial sums of the tasks are then added by pair. Only pairs that occur exist.
     """
 
@@ -63,23 +76,26 @@ def item_dots(history: DataFrame) -> DataFrame:
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            size = batch["hotel"].map(len).to_numpy()
-            if not size.sum():
+            b = batch["b"].where(batch["b"].notna(), batch["a"])
+            wb = batch["wb"].where(batch["wb"].notna(), batch["wa"])
+            size, beside = batch["a"].map(len).to_numpy(), b.map(len).to_numpy()
+            if not size.sum() or not beside.sum():
                 continue
-            item, names = pd.factorize(np.concatenate(batch["hotel"].to_numpy()))
-            weight = np.concatenate(batch["w"].to_numpy())
-            # one entry of a user against all entries of the same user
-            first = np.repeat(np.cumsum(size) - size, size)
-            width = np.repeat(size, size)
+            item, names = pd.factorize(np.concatenate([*batch["a"], *b]))
+            item, partner = item[:size.sum()], item[size.sum():]
+            weight, with_weight = np.concatenate(batch["wa"].to_numpy()), np.concatenate(wb.to_numpy())
+            # one entry of a row against all entries beside it
+            first = np.repeat(np.cumsum(beside) - beside, size)
+            width = np.repeat(beside, size)
             cuts = np.searchsorted(np.cumsum(width), np.arange(PAIR_CELLS, width.sum() + PAIR_CELLS, PAIR_CELLS)) + 1
             for lo, hi in zip([0, *cuts[:-1]], cuts):
                 w, f = width[lo:hi], first[lo:hi]
                 left = np.repeat(np.arange(lo, lo + len(w)), w)
                 right = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(f, w)
-                a, b, dot = sums(item[left], item[right], weight[left] * weight[right], len(names))
-                yield pd.DataFrame({"a": names[a], "b": names[b], "dot": dot})
+                x, y, dot = sums(item[left], partner[right], weight[left] * with_weight[right], len(names))
+                yield pd.DataFrame({"a": names[x], "b": names[y], "dot": dot})
 
-    return (_vectors(history).mapInPandas(partial, "a string, b string, dot double")
+    return (_tiles(history, tile).mapInPandas(partial, "a string, b string, dot double")
             .groupBy("a", "b").agg(F.sum("dot").alias("dot")))
 
 

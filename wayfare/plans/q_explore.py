@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wayfare.operators import explore as x
+from wayfare.operators import explore as x, sketches
 from wayfare.operators.clean import LEG_ORDER
 from wayfare.plans.frames import Frames
 from wayfare.plans.registry import (
     BEHAVIOUR, FLIGHTS, HOTELS, LEG_KEYS, SHARES, T_LABEL, T_TRIPS, T_UDF, USERS, iso, plain, query, r, with_)
 from wayfare.schemas import LABEL_NUM
+from wayfare.session import scratch_path
 from wayfare.sources import domain
 
 RAW_COLUMNS = {"flights": domain.FLIGHT_COLUMNS, "hotels": domain.HOTEL_COLUMNS, "users": domain.USER_COLUMNS}
@@ -25,6 +26,16 @@ def shape_profile(spark, sf):
     return plain(x.shape_profile(Frames(spark, sf).raw))
 
 
+@query("cardinality_refreshed")
+def cardinality_refreshed(spark, sf):
+    """Distinct values of the legs, from sketches of one extract per year that are united."""
+    legs, path = Frames(spark, sf).flights(), scratch_path(spark, "sketches")
+    years = [r[0] for r in legs.select(F.year("date")).distinct().orderBy(F.year("date")).collect()]
+    for year in years:
+        sketches.refresh(legs.where(F.year("date").eqNullSafe(year)), path, str(year))
+    return sketches.estimates(spark, path)
+
+
 @query("dup_null_audit", with_(FLIGHTS, HOTELS, USERS) + _union(
     f"""SELECT '{t}' AS "table", count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS n_duplicates,
     CAST({' + '.join(f'count(*) - count("{c}")' for c in cols)} AS BIGINT) AS n_null_cells FROM {t}"""
