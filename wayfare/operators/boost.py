@@ -49,6 +49,7 @@ LEAST_HESSIAN = 1e-3
 MOST_VALUES = 1 << 16
 PIECE = 1 << 17       # rows of a block where there are several
 TREES_PER_TASK = 50
+JOBS_PER_TASK = 4     # boosted models that a task grows in step
 
 
 # ---- bins ---------------------------------------------------------------------------------
@@ -208,6 +209,14 @@ class Nodes:
             busy = busy[self.left[node[busy]] >= 0]
         return node
 
+    def one(self, tree: int) -> Nodes:
+        """One of the trees, as a table of its own."""
+        at = np.flatnonzero(self.tree == tree)
+        place = np.full(len(self.tree), -1)
+        place[at] = np.arange(len(at))
+        point = lambda x: np.where(x[at] < 0, -1, place[np.maximum(x[at], 0)])
+        return Nodes(np.zeros(len(at), np.int64), self.feature[at], self.cut[at], point(self.left), point(self.right), self.value[at])
+
     def scores(self, codes: np.ndarray, is_cat: np.ndarray, first: int, last: int) -> np.ndarray:
         """Sum of the values that trees first..last-1 give to every row."""
         out = np.zeros(codes.shape[1])
@@ -323,9 +332,10 @@ class Splits:
     left_n: np.ndarray
 
 
-def best_splits(hist: np.ndarray, shape: Shape, spec: TreeSpec, least: float, keys: np.ndarray) -> Splits:
-    """Of histograms (3, nodes, cells) of gradient, hessian and rows; `least` is the smallest hessian of a side."""
-    min_leaf, columns, nodes = spec.min_leaf, spec.columns, hist.shape[1]
+def best_splits(hist: np.ndarray, shape: Shape, columns: int | None, min_leaf: np.ndarray, least: float, keys: np.ndarray) -> Splits:
+    """Of histograms (3, nodes, cells) of gradient, hessian and rows; `min_leaf` holds the least rows of a side per
+    node, `least` is its smallest hessian."""
+    min_leaf, nodes = min_leaf[:, None], hist.shape[1]
     total = hist[:, :, :shape.sizes[0]].sum(axis=2)
     left = hist.copy()
     for a, size in shape.runs:
@@ -363,10 +373,13 @@ def _column_order(keys: np.ndarray, columns: int) -> np.ndarray:
 
 
 class Growth:
-    """Trees being grown together, with the same limits."""
+    """Trees being grown together, each within the limits of its `specs` entry."""
 
-    def __init__(self, spec: TreeSpec, trees: int):
-        self.spec, self.trees = spec, trees
+    def __init__(self, specs: Sequence[TreeSpec]):
+        self.specs, self.trees, trees, spec = specs, len(specs), len(specs), specs[0]
+        self.leaves = [s.leaves for s in specs]
+        self.min_leaf = np.array([s.min_leaf for s in specs])
+        self.most_depth = np.array([np.iinfo(np.int64).max if s.depth is None else s.depth for s in specs])
         self.tree, self.depth, self.key = np.arange(trees), np.zeros(trees, np.int64), np.arange(trees, dtype=np.int64) + spec.seed * 1009
         self.left, self.right = np.full(trees, -1), np.full(trees, -1)
         self.stat: Splits | None = None
@@ -374,14 +387,13 @@ class Growth:
 
     def learn(self, splits: Splits) -> np.ndarray:
         """Take the statistics of the fresh nodes; returns which nodes to split now."""
-        can = (splits.gain > 0) & (splits.n >= 2 * self.spec.min_leaf)
-        if self.spec.depth is not None:
-            can &= self.depth[self.fresh] < self.spec.depth
+        tree = self.tree[self.fresh]
+        can = (splits.gain > 0) & (splits.n >= 2 * self.min_leaf[tree]) & (self.depth[self.fresh] < self.most_depth[tree])
         splits.gain[~can] = 0.0
         self.stat = splits if self.stat is None else Splits(*[np.concatenate([a, b]) for a, b in zip(vars(self.stat).values(), vars(splits).values())])
         pick = np.flatnonzero((self.stat.gain > 0) & (self.left < 0))
-        if self.spec.leaves is not None:
-            pick = np.array([i for t in range(self.trees) for i in self._chosen(t) if self.left[i] < 0], np.int64)
+        if self.leaves[0] is not None:
+            pick = np.array(sorted(i for i in self._chosen() if self.left[i] < 0), np.int64)
         self.fresh = np.zeros(0, np.int64)
         if len(pick):
             made = len(self.left) + np.arange(2 * len(pick))
@@ -395,25 +407,28 @@ class Growth:
             self.fresh = made
         return pick
 
-    def _chosen(self, t: int) -> list[int]:
-        """Nodes of a tree that best-first growth splits, as far as gains are known."""
+    def _chosen(self) -> list[int]:
+        """Nodes that best-first growth splits in all trees, as far as gains are known."""
         gain, left, right = self.stat.gain.tolist(), self.left.tolist(), self.right.tolist()
-        known = len(gain)
-        heap, out = [(-gain[t], t)] if gain[t] > 0 else [], []
-        while heap and len(out) < self.spec.leaves - 1:
-            _, i = heapq.heappop(heap)
-            out.append(i)
-            for child in (left[i], right[i]):
-                if 0 <= child < known and gain[child] > 0:
-                    heapq.heappush(heap, (-gain[child], child))
+        known, out = len(gain), []
+        for t, leaves in enumerate(self.leaves):
+            heap, room = [(-gain[t], t)] if gain[t] > 0 else [], leaves - 1
+            while heap and room:
+                _, i = heapq.heappop(heap)
+                out.append(i)
+                room -= 1
+                for child in (left[i], right[i]):
+                    if 0 <= child < known and gain[child] > 0:
+                        heapq.heappush(heap, (-gain[child], child))
         return out
 
-    def nodes(self, scale: float, unit: float) -> tuple[Nodes, np.ndarray]:
-        """The final trees, and for every grown node the final node that its rows belong to."""
+    def nodes(self, scale: float | np.ndarray, unit: float) -> tuple[Nodes, np.ndarray]:
+        """The final trees, and for every grown node the final node that its rows belong to. `scale` may differ by tree."""
         left, right = self.left.copy(), self.right.copy()
-        if self.spec.leaves is not None:
+        scale = np.broadcast_to(scale, self.trees)[self.tree]
+        if self.leaves[0] is not None:
             split = np.zeros(len(left), bool)
-            split[[i for t in range(self.trees) for i in self._chosen(t)]] = True
+            split[self._chosen()] = True
             left[~split] = right[~split] = -1
         own, final = list(range(len(left))), left.tolist()
         for i, (a, b) in enumerate(zip(self.left.tolist(), self.right.tolist())):  # parents come before their children
@@ -442,13 +457,14 @@ def histograms(codes: np.ndarray, rows: np.ndarray, slots: np.ndarray, g: np.nda
     return out
 
 
-def grow(codes: np.ndarray, shape: Shape, spec: TreeSpec, trees: int, node: np.ndarray, row: np.ndarray, g: np.ndarray,
+def grow(codes: np.ndarray, shape: Shape, specs: Sequence[TreeSpec], node: np.ndarray, row: np.ndarray, g: np.ndarray,
          h: np.ndarray | None, least: float) -> tuple[Growth, np.ndarray]:
     """Trees over entries (node, row), all in memory; `node` is a tree's number at first, the grown node at last.
 
     The smaller child is summed, the other one is the rest, as long as the histograms of the open nodes fit
     `SLOTS`; wider levels are summed slice by slice."""
-    growth, node = Growth(spec, trees), node.astype(np.int64)
+    growth, node, columns = Growth(specs), node.astype(np.int64), specs[0].columns
+    judge = lambda hist, ids: best_splits(hist, shape, columns, growth.min_leaf[growth.tree[ids]], least, growth.key[ids])
     some = lambda at: None if h is None else h[at]
     every = np.arange(len(node))
     fresh, held, held_ids = None, None, np.zeros(0, np.int64)
@@ -461,11 +477,11 @@ def grow(codes: np.ndarray, shape: Shape, spec: TreeSpec, trees: int, node: np.n
             for a in range(0, len(ids), SLOTS):
                 part = order[(node[order] >= ids[a]) & (node[order] < ids[a] + SLOTS)]
                 hist = histograms(codes, row[part], node[part] - ids[a], g[part], some(part), min(SLOTS, len(ids) - a), shape)
-                parts.append(best_splits(hist, shape, spec, least, growth.key[ids[a:a + SLOTS]]))
+                parts.append(judge(hist, ids[a:a + SLOTS]))
             splits = Splits(*[np.concatenate(x) for x in zip(*(vars(p).values() for p in parts))])
             fresh = hist if len(parts) == 1 else None
         else:
-            splits = best_splits(fresh, shape, spec, least, growth.key[ids])
+            splits = judge(fresh, ids)
         pick = growth.learn(splits)
         if not len(pick):
             return growth, node
@@ -483,7 +499,7 @@ def grow(codes: np.ndarray, shape: Shape, spec: TreeSpec, trees: int, node: np.n
         known = len(held_ids) > 0 and bool((held_ids[np.minimum(where, len(held_ids) - 1)] == pick).all())
         if not known or 2 * len(pick) > SLOTS:
             fresh = None
-            if spec.leaves is None:
+            if growth.leaves[0] is None:
                 held, held_ids = None, np.zeros(0, np.int64)
             continue
         small_left = growth.stat.left_n[pick] * 2 <= growth.stat.n[pick]
@@ -584,24 +600,34 @@ def _blocks(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[B
             yield Block(*[r[c] for c in ("block", "n", "codes", "y", "fold", "factor", "truth")], columns), r
 
 
-def run_boosting(block: Block, shape: Shape, job: Job) -> tuple[Start, list[Nodes], dict[int, np.ndarray]]:
-    """All rounds over a block that holds all rows: the trees, and the held rows' scores at the stops."""
-    spec, train, held = job.spec, np.flatnonzero(block.fold != job.held), np.flatnonzero(block.fold == job.held)
+def run_boosting(block: Block, shape: Shape, jobs: Sequence[Job]) -> tuple[Start, list[list[Nodes]], list[dict[int, np.ndarray]]]:
+    """All rounds of jobs of one loss and held fold over a block that holds all rows, in step: the trees of each (if
+    nothing is held out), and the held rows' scores at its stops."""
+    specs, fold = [j.spec for j in jobs], jobs[0].held
+    train, held = np.flatnonzero(block.fold != fold), np.flatnonzero(block.fold == fold)
     y, codes, test = block.y[train], np.ascontiguousarray(block.codes[:, train]), np.ascontiguousarray(block.codes[:, held])
-    start = start_of(spec, len(y), y.sum(), y.min(initial=0.0), y.max(initial=0.0))
-    score, out, trees, marks = np.full(len(y), start.base), np.full(len(held), start.base), [], {}
-    row, root = np.arange(len(y)), np.zeros(len(y), np.int64)
-    for r in range(max(job.stops)):
-        g, h = gradients(spec, start, y, score)
-        growth, node = grow(codes, shape, spec, 1, root, row, g, h, start.least)
-        tree, own = growth.nodes(scale_of(spec), start.unit / start.unit_h)
-        score += tree.value[own[node]]
+    start, n = start_of(specs[0], len(y), y.sum(), y.min(initial=0.0), y.max(initial=0.0)), len(y)
+    score, out = np.full((len(jobs), n), start.base), np.full((len(jobs), len(held)), start.base)
+    trees: list[list[Nodes]] = [[] for _ in jobs]
+    marks: list[dict[int, np.ndarray]] = [{} for _ in jobs]
+    live = list(range(len(jobs)))
+    for r in range(max(max(j.stops) for j in jobs)):
+        live = [m for m in live if r < max(jobs[m].stops)]
+        k = len(live)
+        g, h = gradients(specs[0], start, y, score[live])
+        growth, node = grow(codes, shape, [specs[m] for m in live], np.repeat(np.arange(k), n), np.tile(np.arange(n), k),
+                            g.ravel(), None if h is None else h.ravel(), start.least)
+        tree, own = growth.nodes(np.array([scale_of(specs[m]) for m in live]), start.unit / start.unit_h)
+        score[live] += tree.value[own[node]].reshape(k, n)
         if len(held):
-            out += tree.scores(test, shape.is_cat, 0, 1)
-        else:
-            trees.append(tree)
-        if r + 1 in job.stops:
-            marks[r + 1] = out.copy()
+            leaf = tree.leaves_of(np.tile(test, k), shape.is_cat, np.repeat(np.arange(k), len(held)))
+            out[live] += tree.value[leaf].reshape(k, len(held))
+        elif fold < 0:
+            for i, m in enumerate(live):
+                trees[m].append(tree if k == 1 else tree.one(i))
+        for m in live:
+            if r + 1 in jobs[m].stops:
+                marks[m][r + 1] = out[m].copy()
     return start, trees, marks
 
 
@@ -611,21 +637,25 @@ def run_trees(block: Block, shape: Shape, job: Job, first: int, last: int) -> tu
     y = block.y[train]
     start = start_of(spec, len(y), y.sum(), y.min(initial=0.0), y.max(initial=0.0))
     tree, row, g, h = tree_entries(spec, start, block.y, train, block.number, first, last)
-    growth, _ = grow(block.codes, shape, replace(spec, seed=spec.seed + first), last - first, tree, row, g, h, start.least)
+    growth, _ = grow(block.codes, shape, [replace(spec, seed=spec.seed + first)] * (last - first), tree, row, g, h, start.least)
     nodes, _ = growth.nodes(1.0, start.unit)
     return start, nodes, nodes.scores(block.codes[:, ~train], shape.is_cat, 0, last - first)
 
 
-def _tasks(jobs: Sequence[Job]) -> list[tuple[int, int, int]]:
-    """(job, first, last): boosting as a whole, forests in runs of trees that end at the stops."""
-    out = []
+def _tasks(jobs: Sequence[Job]) -> list[tuple[tuple[int, ...], int, int]]:
+    """(jobs, first, last): boosting jobs of one loss, fold and length go together; forests in runs of trees that
+    end at the stops."""
+    out, alike = [], {}
     for j, job in enumerate(jobs):
         if job.spec.loss != "mean":
-            out.append((j, 0, max(job.stops)))
+            alike.setdefault((job.spec.loss, job.held, max(job.stops), job.spec.leaves is None), []).append(j)
             continue
         ends = sorted({*job.stops, *range(TREES_PER_TASK, max(job.stops), TREES_PER_TASK)})
-        out += [(j, a, b) for a, b in zip([0, *ends[:-1]], ends)]
-    return sorted(out, key=lambda t: t[1] - t[2])
+        out += [((j,), a, b) for a, b in zip([0, *ends[:-1]], ends)]
+    for (_, _, rounds, _), group in alike.items():
+        group = sorted(group, key=lambda j: jobs[j].spec.leaves or 0)
+        out += [(tuple(group[a:a + JOBS_PER_TASK]), 0, rounds) for a in range(0, len(group), JOBS_PER_TASK)]
+    return sorted(out, key=lambda t: (t[1] - t[2]) * len(t[0]))
 
 
 FITTED = "job int, stop int, part int, base double, scores binary, truth binary, factor binary, trees binary"
@@ -637,23 +667,23 @@ def _in_tasks(blocks: DataFrame, shape: Shape, jobs: Sequence[Job]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, row in _blocks(batches, columns):
-            j, first, last = tasks[row["task"]]
-            job = jobs[j]
-            keep = block.fold == job.held
+            group, first, last = tasks[row["task"]]
+            some = [jobs[j] for j in group]
+            keep = block.fold == some[0].held
             truth, factor = block.truth[keep].tobytes(), block.factor[keep].tobytes()
-            if job.spec.loss == "mean":
-                start, nodes, scores = run_trees(block, shape, job, first, last)
-                rows = [(s, scores / s + (start.base if not first else 0.0)) for s in job.stops if s >= last]
-                trees = [nodes]
+            if some[0].spec.loss == "mean":
+                start, nodes, scores = run_trees(block, shape, some[0], first, last)
+                found = [([nodes], {s: scores / s + (start.base if not first else 0.0) for s in some[0].stops if s >= last})]
             else:
-                start, trees, marks = run_boosting(block, shape, job)
-                rows = list(marks.items())
-            packed = pickle.dumps(join_nodes(trees)) if job.held < 0 else None
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([j] * len(rows), pa.int32()), pa.array([s for s, _ in rows], pa.int32()),
-                 pa.array([first] * len(rows), pa.int32()), pa.array([start.base] * len(rows)),
-                 *[pa.array(x, pa.binary()) for x in ([v.tobytes() for _, v in rows], [truth] * len(rows), [factor] * len(rows),
-                                                      [packed] * len(rows))]], names=[f.split()[0] for f in FITTED.split(", ")])
+                start, trees, marks = run_boosting(block, shape, some)
+                found = list(zip(trees, marks))
+            for j, (trees, marks) in zip(group, found):
+                n, packed = len(marks), pickle.dumps(join_nodes(trees)) if jobs[j].held < 0 else None
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([j] * n, pa.int32()), pa.array(list(marks), pa.int32()), pa.array([first] * n, pa.int32()),
+                     pa.array([start.base] * n), *[pa.array(x, pa.binary()) for x in (
+                         [v.tobytes() for v in marks.values()], [truth] * n, [factor] * n, [packed] * n)]],
+                    names=[f.split()[0] for f in FITTED.split(", ")])
 
     spread = blocks.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(len(tasks) - 1)))).repartitionByRange(len(tasks), "task")
     return spread.mapInArrow(run, FITTED)
@@ -704,7 +734,7 @@ def _pass(state: DataFrame, shape: Shape, jobs: Sequence[Job], starts: Sequence[
         hist = np.zeros((3, 1, shape.cells))
         for k, c in enumerate("ghn"):
             hist[k, 0, table.column("cell").to_numpy()] = table.column(c).to_numpy()
-        best = best_splits(hist, shape, jobs[m].spec, starts[m].least, keys[m][[node]])
+        best = best_splits(hist, shape, jobs[m].spec.columns, np.array([jobs[m].spec.min_leaf]), starts[m].least, keys[m][[node]])
         return pa.table({"model": pa.array([m], pa.int32()), "node": [node],
                          **{k: pa.array(v, pa.int64() if k in ("feature", "cut") else pa.float64()) for k, v in vars(best).items()}})
 
@@ -724,7 +754,7 @@ def _pass(state: DataFrame, shape: Shape, jobs: Sequence[Job], starts: Sequence[
 
 
 def _grow_all(state: DataFrame, shape: Shape, jobs: Sequence[Job], starts: Sequence[Start]) -> list[Growth]:
-    growths = [Growth(j.spec, max(j.stops) if j.spec.loss == "mean" else 1) for j in jobs]
+    growths = [Growth([j.spec] * (max(j.stops) if j.spec.loss == "mean" else 1)) for j in jobs]
     while any(len(w.fresh) for w in growths):
         for w, splits in zip(growths, _pass(state, shape, jobs, starts, growths)):
             if len(w.fresh):
@@ -791,7 +821,7 @@ def _in_step(blocks: DataFrame, shape: Shape, jobs: Sequence[Job]) -> list[tuple
 
 def _grow_some(state: DataFrame, shape: Shape, jobs: Sequence[Job], starts: Sequence[Start], live: list[int]) -> dict[int, Growth]:
     """As `_grow_all`, leaving out the models that have all their rounds."""
-    growths = [Growth(j.spec, 1) for j in jobs]
+    growths = [Growth([j.spec]) for j in jobs]
     for m, w in enumerate(growths):
         if m not in live:
             w.fresh = np.zeros(0, np.int64)
