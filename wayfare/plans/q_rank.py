@@ -129,7 +129,7 @@ def matrix_density(spark, sf):
     return rec.matrix_density(Frames(spark, sf).pairs)
 
 
-BRANDS = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]  # the items of the order tables
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]  # the items of the order tables
 
 
 @query("interaction_matrix", with_(HOTELS, PAIRS) + "SELECT \"user\", " + ", ".join(
