@@ -6,10 +6,11 @@ row (count times idf); a word outside the vocabulary counts only in the row's le
 That length takes every occurrence of a word by itself, so repetition can only raise a cosine; a word that
 only repeats the one before it counts nowhere.
 
-1. Document frequencies of the vocabulary are counted over all documents.
-2. A distributed randomised SVD fits the latent axes: subspace iteration over the TF-IDF passages of the
-   benchmark and of a sample of documents (about `SAMPLE` documents, chosen by a hash of the id; both parts
-   weigh the same). Each task multiplies its own passages, vocabulary ranges add up the products.
+1. One pass over all documents counts the document frequencies of the vocabulary and multiplies the passages of
+   every document with a start that the benchmark's passages give; vocabulary ranges add up the products of the
+   tasks. The start needs no idf, so the idf that the same pass finds is put in afterwards.
+2. These products make a randomised SVD (Nystrom form) of the TF-IDF passages of the benchmark and of all
+   documents, both parts of the same weight, which gives the latent axes.
 3. Every passage of every document is compared with all items by two cosines: of the TF-IDF rows as they are, and
    with the item on the axes. The greater counts, so an item that lies outside the axes is found by its words.
    An item of more than two passages is compared as a whole and by the passages side by side that cover it; the
@@ -43,15 +44,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wayfare.llm.graph import keep
 from wayfare.llm.words import IS_WORD, U64, KeyTable, Words, ragged, slices
 
 PASSAGE, STEP = 32, 8
 RANK, SPARE, ROUNDS = 256, 16, 2
-SAMPLE = 2000
+SAMPLE = None  # no sample is taken: every document enters the fit; the name stays for callers that set it
 ITEMS, VECTORS = 512, 512
 COSINE, SAME, ANSWER = 0.35, 0.7, 0.6
-RANGE = 1024
+RANGE = 64
+WIDE = 6144  # vocabularies up to this size count pairs of words in a table
+TASKS = 32  # tasks that send products, or three for each core if that is more
 WORDY = IS_WORD.copy()
 WORDY[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80), *range(0x00, 0x09), *range(0x0E, 0x20)]] = False
 
@@ -140,14 +142,90 @@ def _times(row: np.ndarray, word: np.ndarray, value: np.ndarray, q: np.ndarray)
     return _added(row, q[word] * value[:, None])
 
 
-def _frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
-    """Documents that hold each word of the vocabulary, and all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+def _begun(at: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """How many passages of a text begin at word `at` or before, if `room` words follow its first passage."""
+    return np.where(at >= 0, np.minimum(at // STEP + 1, -(-room // STEP)) + (at >= room), 0)
+
+
+def word_pairs(words: Words, number: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first * size + second, passages that hold both) of the pairs of known words, the first before the second or
+    the same occurrence, in portions."""
+    known = np.flatnonzero(number >= 0)
+    owner = words.owners()[known]
+    room, at = np.maximum(words.counts - PASSAGE, 0)[owner], known - words.bounds[owner]
+    n, apart = number[known].astype(np.int64), owner << 32  # no pair across texts
+    begun, over = _begun(at, room) + apart, _begun(at - PASSAGE, room) + apart
+    for k in range(min(PASSAGE, len(known))):
+        both = begun[:len(n) - k] - over[k:]
+        some = np.flatnonzero(both > 0)
+        if not len(some):
+            break
+        yield n[some] * size + n[some + k], both[some]
+
+
+class Products:
+    """A'(A q) over passages A given as counts of words.
+
+    For a vocabulary of up to `wide` words A'A is counted in a table, pair by pair; for a larger one every
+    passage is multiplied."""
+
+    def __init__(self, q: np.ndarray, wide: int):
+        self.q, self.size, self.total = q, len(q), np.zeros(q.shape)
+        self.counted = self.size <= wide
+        self.table = np.zeros(self.size * self.size if self.counted else 0, np.int32)
+        self.mass = 0  # no cell of the table holds more
+
+    def add(self, words: Words, number: np.ndarray) -> None:
+        if not self.counted:
+            self._multiply(words, number)
+            return
+        for same, (key, times) in zip(itertools.chain([True], itertools.repeat(False)), word_pairs(words, number, self.size)):
+            if same:
+                self.total += np.bincount(key // self.size, times, self.size)[:, None] * self.q
+                continue
+            mass = int(times.sum())
+            if self.mass + mass >= 1 << 30:
+                self._empty()
+            self.mass += mass
+            np.add.at(self.table, key, times.astype(np.int32))
+
+    def _empty(self) -> None:
+        cells = self.table.reshape(self.size, -1)
+        for a in range(0, self.size, 512):
+            both = cells[a:a + 512] + cells[:, a:a + 512].T
+            self.total[a:a + 512] += both.astype(np.float32) @ self.q
+        self.table[:] = 0
+        self.mass = 0
+
+    def _multiply(self, words: Words, number: np.ndarray) -> None:
+        text, start, length = passages(words.counts)
+        start, one = start + words.bounds[text], np.ones(self.size)
+        for a in range(0, len(start), 1024):
+            row, word, value = cells(number, start[a:a + 1024], length[a:a + 1024], one)
+            if len(row):
+                rows, y = _times(row, word, value, self.q)
+                order = np.argsort(word, kind="stable")
+                place = np.searchsorted(rows, row[order])
+                used, more = _added(word[order], y[place] * value[order][:, None])
+                self.total[used] += more
+
+    def sums(self) -> np.ndarray:
+        if self.mass:
+            self._empty()
+        return self.total
+
+
+def _count(docs: DataFrame, block: Block, q: np.ndarray) -> tuple[int, np.ndarray, int, np.ndarray]:
+    """Over all documents: their number, those that hold each word of the vocabulary, the number of passages, and
+    A'(A q) over the passages A as counts of words."""
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((block, q))
+    ranges, wide = -(-len(q) // RANGE), WIDE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.table()
-        size = len(shared.value.vocabulary)
-        df, n = np.zeros(size, np.int64), 0
+        block, q = shared.value
+        table, size = block.table(), len(q)
+        df, products, texts, seen = np.zeros(size, np.int64), Products(q, wide), 0, 0
         for batch in batches:
             for _, buf, offsets in slices(batch.column(0)):
                 words = Words(buf, offsets, WORDY)
@@ -155,57 +233,32 @@ def _frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
                 known = number >= 0
                 pair = np.unique(words.owners()[known] * size + number[known])
                 df += np.bincount(pair % size, minlength=size)
-                n += len(offsets) - 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, size, dtype=np.int32)), pa.array(np.append(n, df))],
-                                         names=["word", "n"])
-
-    found = docs.select("text").mapInArrow(run, "word int, n long").groupBy("word").agg(F.sum("n"))
-    df, total = np.zeros(len(block.vocabulary), np.int64), 0
-    for word, n in found.collect():  # a row per word of the block
-        if word < 0:
-            total = n
-        else:
-            df[word] = n
-    return df, total
-
-
-def _products(sample: DataFrame, block: Block, q: np.ndarray) -> tuple[np.ndarray, int]:
-    """A'(A q) over the passages A of the sample, and their number."""
-    shared = sample.sparkSession.sparkContext.broadcast((block, q))
-    ranges = -(-len(block.vocabulary) // RANGE)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b, q = shared.value
-        table, total, n = b.table(), np.zeros(q.shape), 0
-        for batch in batches:
-            for _, buf, offsets in slices(batch.column(0)):
-                words = Words(buf, offsets, WORDY)
-                number = table.find(words.hashes())
-                text, start, length = passages(words.counts)
-                start = start + words.bounds[text]
-                n += len(start)
-                for a in range(0, len(start), 1024):
-                    row, word, value = cells(number, start[a:a + 1024], length[a:a + 1024], b.idf)
-                    if len(row):
-                        rows, y = _times(row, word, value, q)
-                        order = np.argsort(word, kind="stable")
-                        place = np.searchsorted(rows, row[order])
-                        used, more = _added(word[order], y[place] * value[order][:, None])
-                        total[used] += more
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, ranges, dtype=np.int32)),
-             pa.array([np.array([n], np.float64).tobytes(), *(total[r * RANGE:(r + 1) * RANGE].tobytes() for r in range(ranges))])],
-            names=["part", "sums"])
+                texts += len(offsets) - 1
+                seen += len(passages(words.counts)[0])
+                products.add(words, number)
+        if texts:
+            sums = products.sums().astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(-1, ranges, dtype=np.int32)),
+                 pa.array([np.append([texts, seen], df).astype(np.float64).tobytes(),
+                           *(sums[r * RANGE:(r + 1) * RANGE].tobytes() for r in range(ranges))])],
+                names=["part", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
-        sums = sum(np.frombuffer(x, np.float64) for x in table.column("sums").to_pylist())
-        return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([sums.tobytes()], pa.binary())})
-
-    got = dict(tuple(r) for r in sample.select("text").mapInArrow(run, "part int, sums binary").groupBy("part")
+        kind = np.float64 if table.column("part")[0].as_py() < 0 else np.float32
+        total = 0
+        for sums in table.column("sums"):
+            total = total + np.frombuffer(sums.as_buffer(), kind).astype(np.float64)
+        return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    few = docs.select("text").coalesce(max(TASKS, 3 * context.defaultParallelism))  # what is sent follows the cores
+    got = dict(tuple(r) for r in few.mapInArrow(run, "part int, sums binary").groupBy("part")
                .applyInArrow(add, "part int, sums binary").collect())  # vocabulary x axes of one block
-    n = int(np.frombuffer(got.pop(-1), np.float64)[0]) if got else 0
-    out = [np.frombuffer(got[r], np.float64) for r in sorted(got)]
-    return (np.concatenate(out).reshape(q.shape) if out else np.zeros(q.shape)), n
+    shared.unpersist()
+    if not got:
+        return 0, np.zeros(len(q)), 0, np.zeros(q.shape)
+    head = np.frombuffer(got.pop(-1), np.float64)
+    return int(head[0]), head[2:], int(head[1]), np.concatenate([np.frombuffer(got[r], np.float64) for r in sorted(got)]).reshape(q.shape)
 
 
 def search_parts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,32 +272,37 @@ def search_parts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _own_passages(block: Block) -> np.ndarray:
-    """TF-IDF rows of the items and of their passages."""
+    """Counts of the words of the items and of their passages."""
     number = np.concatenate(block.words)
     counts = np.array([len(w) for w in block.words])
     first = np.cumsum(counts) - counts
     text, start, length = passages(counts)
     start, length = np.append(start + first[text], first), np.append(length, counts)
-    return _dense(*cells(number, start, length, block.idf), len(start), len(block.idf))
+    return _dense(*cells(number, start, length, np.ones(len(block.idf))), len(start), len(block.idf))
+
 
+def leading(product: np.ndarray, start: np.ndarray, rank: int) -> np.ndarray:
+    """The leading eigenvectors of a positive matrix G, from G start and start (Nystrom approximation; exact if the
+    start spans everything)."""
+    inner = start.T @ product
+    value, turn = np.linalg.eigh((inner + inner.T) / 2)
+    good = value > 1e-9 * max(value[-1], 1e-300)
+    return np.linalg.svd(product @ (turn[:, good] / np.sqrt(value[good])), full_matrices=False)[0][:, :rank]
 
-def fit(spark: SparkSession, docs: DataFrame, block: Block) -> Block:
+
+def fit(docs: DataFrame, block: Block) -> Block:
     """The block with idf, latent axes and item vectors."""
-    df, total = _frequencies(docs, block)
+    own = _own_passages(block)
+    wide = min(RANK + SPARE, own.shape[1])
+    q = np.linalg.qr(np.random.Generator(np.random.PCG64(3)).standard_normal((own.shape[1], wide)))[0].astype(np.float32)
+    for _ in range(ROUNDS):
+        q = np.linalg.qr(q + own.T @ (own @ q))[0].astype(np.float32)
+    total, df, n, product = _count(docs, block, q)
     block.idf = np.log((1 + total) / (1 + df)) + 1e-3
     block.strange = float(np.median(block.idf))
-    step = max(1, total // SAMPLE)
-    sample = keep(spark, docs.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("text"), "passages")
-    own = _own_passages(block)
-    wide = min(RANK + SPARE, len(block.idf))
-    q = np.linalg.qr(np.random.Generator(np.random.PCG64(3)).standard_normal((len(block.idf), wide)))[0].astype(np.float32)
-    for left in range(ROUNDS, -1, -1):
-        product, n = _products(sample, block, q)
-        product += own.T @ (own @ q) * max(1.0, n / len(own))
-        if left:
-            q = np.linalg.qr(product)[0].astype(np.float32)
-    value, turn = np.linalg.eigh(q.T.astype(np.float64) @ product)
-    block.axes = (q @ turn[:, np.argsort(-value)[:RANK]]).astype(np.float32)
+    product += own.T @ (own @ q) * max(1.0, n / len(own))
+    # A holds counts, B = A idf: B'B (q / idf) = idf A'A q
+    block.axes = leading(product * block.idf[:, None], q / block.idf[:, None], RANK).astype(np.float32)
     counts = np.array([len(w) for w in block.words])
     item, start, length = search_parts(counts)
     row, word, weight = cells(np.concatenate(block.words), start + (np.cumsum(counts) - counts)[item], length, block.idf)
@@ -365,7 +423,7 @@ def fitted_blocks(spark: SparkSession, texts: DataFrame, benchmark: DataFrame, i
         if rows and (row is None or len(rows) == ITEMS or vectors + more > VECTORS):
             block = read_block(rows)
             if block is not None:
-                yield fit(spark, texts, block)
+                yield fit(texts, block)
             rows, vectors = [], 0
         rows.append(row)
         vectors += more
