@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -93,6 +94,22 @@ def test_fixed_patterns(spark):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_only_windows_with_a_whole_core_are_run():
+    """Windows with a few digits alone are left out; what is found in all windows is found in the others too."""
+    rng, text = random.Random(6), ""
+    for found, _ in pii._examples(400, 5):
+        text += found + " " * rng.randint(0, 3) + rng.choice(["12 ", "in 2019, ", "@ ", "1.2.3 ", "no number "]) * rng.randint(0, 4)
+    text += " 2020 was the year, p. 17 " * 200
+    every = [c * pii.STEP for c in range((len(text) - 1) // pii.STEP + 1)]
+    some, chosen = pii._windows(text), pii.learnt_spans(pii.trained(), [text])
+    assert set(some) < set(every) and max(some) < len(text) - 26 * 200 + pii.WINDOW
+    original, pii._windows = pii._windows, lambda t: every
+    try:
+        assert pii.learnt_spans(pii.trained(), [text]) == chosen and len(chosen[0]) > 100
+    finally:
+        pii._windows = original
+
+
 def test_tagger_learns_and_adds_only_personal_data():
     x, y = pii._labelled(400, 99, pii.TRAIN_LENGTH)
     path = pii.trained().decode(x.T).T
