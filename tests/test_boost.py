@@ -172,3 +172,23 @@ def test_constant_target_and_no_rows(spark, bins, df):
     assert {round(r["prediction"], 9) for r in flat.transform(df).collect()} == {2.0}
     empty = boost.fit(boost.make_blocks(df.where("id < 0"), bins, F.col("y")), bins, TreeSpec("squared", 3, 0.1, 8, None, 5))
     assert {r["prediction"] for r in empty.transform(df).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("spec", [TreeSpec("squared", 6, 0.2, 9, None, 5), TreeSpec("log", 4, 0.3, 6, None, 5), TreeSpec("mean", 1, min_leaf=3)])
+def test_repeated_rows_over_many_blocks_are_merged_and_grown_in_a_task(spark, df, bins, spec, monkeypatch):
+    """Six copies of every row: the entries are those of one copy, and the trees those of all rows."""
+    target, jobs = F.col("label" if spec.loss == "log" else "y"), [Job(spec, 1, (spec.rounds,))]
+    many = df.crossJoin(spark.range(6).toDF("copy")).repartition(5)
+    pick = lambda b: sorted((r["label"], round(r["prediction"], 6), round(r["p1"], 6)) for r in boost.predict_folds(b, bins, jobs).collect())
+    want = pick(boost.make_blocks(many, bins, target, F.col("fold")))
+    monkeypatch.setattr(boost, "BLOCK", 400)
+    monkeypatch.setattr(boost, "PIECE", 50)
+    blocks = boost.make_blocks(many, bins, target, F.col("fold"))
+    assert blocks.count() > 1 and blocks.agg(F.sum("n")).first()[0] <= 420
+    assert len(want) == 6 * 140 and pick(blocks) == want
+    monkeypatch.setattr(boost, "_in_step", None)  # nothing is grown by a job per pass
+    model = boost.fit(blocks, bins, spec)
+    monkeypatch.undo()
+    monkeypatch.setattr(boost, "WHOLE", 1)  # more entries than a task may hold: weights count in the job per pass as well
+    assert pick(blocks) == want
+    assert len({r["prediction"] for r in model.transform(df).collect()}) > 2
