@@ -167,3 +167,22 @@ def test_recommend(spark, pairs):
     assert rec.recommend(req, longer, 12).where("request_id = 2").count() == 12
     with pytest.raises(Exception, match="k is above 9"):
         rec.recommend(req.withColumn("k", F.lit(12)), longer, F.col("k")).collect()
+
+
+def test_grams_cut_in_tasks_equal_the_counted_ones(spark, monkeypatch):
+    """Repeated and null keys, null and blank texts, several slices of n-grams; nothing but sums per n-gram or text moves."""
+    texts = [*TEXTS, None, " \t ", "İstanbul Σίσυφος 😀😀 a", "the theory of the thing", "the thing", "a b a b"]
+    rows = [*enumerate(texts), (0, "the other text of key 0"), (None, "no key, the thing"), (None, "the same again")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    counts = encode.gram_counts(df, "id", "text")
+    idf = encode.gram_idf(counts, F.lit(len(rows))).persist()
+    grams = encode.Grams(df, "id", "text")
+    tidy = lambda d, *cs: sorted((r[0], *[round(r[c], 9) for c in cs]) for r in d.collect())
+    assert tidy(grams.idf(F.lit(len(rows))), "df", "total_tf", "idf") == tidy(idf, "df", "total_tf", "idf")
+    want = encode.gram_weights(counts, idf, "id").groupBy("id").agg(
+        F.count("*").alias("n_grams"), F.max("weight").alias("max_weight"), F.sum("weight").alias("sum_weight"))
+    monkeypatch.setattr(encode, "HELD_GRAMS", 40)
+    assert tidy(grams.weight_sums(idf), "n_grams", "max_weight", "sum_weight") == tidy(want, "n_grams", "max_weight", "sum_weight")
+    alone = encode.Grams(df.where("id > 0"), "id", "text")
+    plan = alone.idf(F.lit(1))._jdf.queryExecution().toString()
+    assert alone.counts is None and "_words" in plan and "explode" not in plan.lower()
